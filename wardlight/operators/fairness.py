@@ -111,14 +111,14 @@ def _spread(column: str) -> Column:
     return F.max(column) - F.min(column)
 
 
-def fairness_gaps(report: DataFrame) -> DataFrame:
-    """One row per attribute from a fairness report: the three gaps.
+def fairness_gaps(report: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per attribute (and ``by``) from a fairness report: the three gaps.
 
     demographic parity: spread of the selection rate; equalized odds: the
     larger spread of recall and false positive rate; predictive parity:
     spread of precision over the groups that have one.
     """
-    return report.groupBy("attribute").agg(
+    return report.groupBy(*by, "attribute").agg(
         _spread("selection_rate").alias("demographic_parity_gap"),
         F.greatest(_spread("recall"), _spread("false_positive_rate")).alias(
             "equalized_odds_gap"

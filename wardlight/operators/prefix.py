@@ -34,10 +34,10 @@ def add_ranges(
     list); rows with equal values share a range. A table that fits one range
     gets no such column, and ``running_totals`` then uses a plain window.
     """
-    shares = [i / max_ranges for i in range(1, max_ranges)]
+    shares = ", ".join(f"{i / max_ranges!r}D" for i in range(1, max_ranges))
     found = df.agg(
         F.count(column).alias("n"),
-        F.percentile_approx(column, shares, 10 * max_ranges).alias("cuts"),
+        F.expr(f"percentile_approx(`{column}`, array({shares}), {10 * max_ranges})").alias("cuts"),
     ).first()
     wanted = min(max_ranges, -(-found["n"] // rows_per_range))
     if wanted <= 1:
