@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from wardlight.operators.encode import Preprocessor, infer_column_groups
 from wardlight.operators.features import EncounterFeatures, SchemaAligner
+from wardlight.session import materialize
 
 # Spark's own limit; stands for "no limit".
 DEEPEST = 30
@@ -36,7 +37,7 @@ def weight_column(weights: dict[int, float], label: str = "label") -> Column:
 
 
 def logistic_regression(
-    weight_total: float, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-5
+    weight_total: float, C: float = 1.0, max_iter: int = 1000, tol: float = 1e-4
 ) -> LogisticRegression:
     """L2 logistic regression whose ``C`` multiplies the summed weighted loss.
 
@@ -96,7 +97,7 @@ class ModelSpec:
 
 
 MODELS: dict[str, ModelSpec] = {
-    "LogReg": ModelSpec("LogReg", logistic_regression, rows_per_task=25_000),
+    "LogReg": ModelSpec("LogReg", logistic_regression, rows_per_task=50_000),
     "RandomForest": ModelSpec("RandomForest", random_forest),
     "BoostedTrees": ModelSpec(
         "BoostedTrees", boosted_trees, fixed_weights={0: 1.0, 1: BOOSTED_POSITIVE_WEIGHT}
@@ -169,13 +170,10 @@ def fit_pipeline(
     featured = features.transform(train).persist()
     try:
         encoder = fit_encoder(featured, exclude, min_frequency)
-        encoded = encoder.transform(featured).select("label", "features").persist()
-        try:
-            classifier = fit_classifier(
-                encoded, MODELS[model], params, class_weight, seed=seed
-            )
-        finally:
-            encoded.unpersist()
+        # Iterative fits start from a short lineage: every task of every
+        # iteration would otherwise carry the encoders' lookup tables.
+        encoded = materialize(encoder.transform(featured).select("label", "features"))
+        classifier = fit_classifier(encoded, MODELS[model], params, class_weight, seed=seed)
     finally:
         featured.unpersist()
     return scoring_pipeline(input_schema(train), features, encoder, classifier)

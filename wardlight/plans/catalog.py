@@ -922,7 +922,7 @@ def ml_permutation_importance(spark, folder):
 
 _SMALL_GRIDS = {
     "LogReg": {"C": [0.01, 1.0]},
-    "RandomForest": {"n_estimators": [10], "max_depth": [4], "min_samples_leaf": [1, 5]},
+    "RandomForest": {"n_estimators": [10], "max_depth": [4]},
 }
 
 
@@ -958,7 +958,9 @@ def ml_reweighted(spark, folder):
     features = EncounterFeatures()
     featured = features.transform(weighted).persist()
     encoder = models.fit_encoder(featured, exclude=("row_weight",))
-    encoded = encoder.transform(featured).select("label", "features", "row_weight").persist()
+    encoded = materialize(
+        encoder.transform(featured).select("label", "features", "row_weight")
+    )
     classifier = models.fit_classifier(encoded, models.MODELS["LogReg"], weight="row_weight")
     model = models.scoring_pipeline(models.input_schema(train), features, encoder, classifier)
     scored = score.predict_risk(model, holdout).persist()
@@ -977,7 +979,7 @@ def ml_calibrated(spark, folder):
 @query
 def ml_training_run(spark, folder):
     raw = view.encounters(spark, folder).drop("admitted", "charge")
-    config = replace(RunConfig(), folds=3, models=("LogReg",), grids=dict(QUICK_GRIDS))
+    config = replace(RunConfig(), folds=2, models=("LogReg",), grids=dict(QUICK_GRIDS))
     result = training.run_training(spark, raw, scratch_path(spark, "run"), config)
     return spark.read.schema(result["holdout_metrics"].schema).json(
         result["paths"]["holdout_metrics"]
