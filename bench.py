@@ -71,7 +71,7 @@ def model_steps(spark, times: dict) -> None:
     ).collect())
     featured.unpersist()
     if os.environ.get("BENCH_QUICK_RUN", "1") != "0":
-        folded = materialize(training.spread(split.assign_folds(train)))
+        folded = training.spread(materialize(split.assign_folds(train)))
         config = replace(RunConfig(), grids=QUICK_GRIDS, models=("LogReg",))
         timed(times, "tune_logistic_5_folds", lambda: tuning.tune_models(folded, config))
 

@@ -30,21 +30,21 @@ def add_ranges(
 ) -> DataFrame:
     """Add the range number of a numeric column as ``__bucket``.
 
-    One aggregate pass finds the row count and the cut points (a bounded
-    list); rows with equal values share a range. A table that fits one range
-    gets no such column, and ``running_totals`` then uses a plain window.
+    A count tells how many ranges are wanted, and one sketch pass finds their
+    bounds; rows with equal values share a range. A table that fits one range
+    gets no such column, and ``running_totals`` then uses a plain window. The
+    input is read more than once: store it first if it is costly to make.
     """
-    shares = ", ".join(f"{i / max_ranges!r}D" for i in range(1, max_ranges))
-    found = df.agg(
-        F.count(column).alias("n"),
-        F.expr(f"percentile_approx(`{column}`, array({shares}), {10 * max_ranges})").alias("cuts"),
-    ).first()
-    wanted = min(max_ranges, -(-found["n"] // rows_per_range))
+    rows = df.select(F.count(column)).first()[0]
+    wanted = min(max_ranges, -(-rows // rows_per_range))
     if wanted <= 1:
         return df
-    step = max_ranges / wanted
-    picked = {float(found["cuts"][round(i * step) - 1]) for i in range(1, wanted)}
-    cuts = sorted(c for c in picked if isfinite(c))
+    shares = ", ".join(f"{i / wanted!r}D" for i in range(1, wanted))
+    sketch = F.expr(
+        f"percentile_approx(`{column}`, array({shares}), {max(10_000, 10 * wanted)})"
+    )
+    found = df.select(sketch).first()[0]
+    cuts = sorted({float(c) for c in found if isfinite(c)})
     bucketizer = Bucketizer(
         splits=[-float("inf"), *cuts, float("inf")], inputCol="__value", outputCol=BUCKET,
         handleInvalid="keep",

@@ -128,8 +128,11 @@ def leaking_groups(
 
 
 def shared_groups(left: DataFrame, right: DataFrame, group: str = PATIENT_ID) -> DataFrame:
-    """Groups present in both tables (set intersection)."""
-    return left.select(group).intersect(right.select(group))
+    """Groups present in both tables (set intersection).
+
+    Each side is made distinct first, which map tasks do before the shuffle.
+    """
+    return left.select(group).distinct().intersect(right.select(group).distinct())
 
 
 def assert_no_group_leakage(

@@ -354,7 +354,7 @@ def encode_column_groups(spark, folder):
 
 @query
 def encode_numeric_stats(spark, folder):
-    table = view.encounters(spark, folder).select(*NUMERIC)
+    table = materialize(view.encounters(spark, folder).select(*NUMERIC))
     found = encode.numeric_statistics(table, NUMERIC)
     rows = [(c, s["median"], s["mean"], s["std"]) for c, s in found.items()]
     return spark.createDataFrame(rows, "column_name string, median double, mean double, std double")
@@ -362,7 +362,7 @@ def encode_numeric_stats(spark, folder):
 
 @query
 def encode_scaled(spark, folder):
-    table = view.encounters(spark, folder).select("encounter_id", *NUMERIC)
+    table = materialize(view.encounters(spark, folder).select("encounter_id", *NUMERIC))
     model = encode.MedianScaler(inputCols=NUMERIC).fit(table)
     return model.transform(table).select("encounter_id", *model.getOutputCols())
 
@@ -604,6 +604,14 @@ def prepare_data(spark, folder):
 # --- metrics, curves, thresholds --------------------------------------------
 
 
+def _scored(spark, folder, decimals=None):
+    """Scores stored once: ranking reads them more than once."""
+    slim = view.scored_visits(spark, folder, decimals).select(
+        "encounter_id", "gender", "admission_type_id", "label", "score", "y_pred"
+    )
+    return materialize(slim)
+
+
 @query
 def metric_confusion(spark, folder):
     return metrics.confusion(view.scored_visits(spark, folder))
@@ -611,24 +619,24 @@ def metric_confusion(spark, folder):
 
 @query
 def metric_auc_roc(spark, folder):
-    return metrics.ranking_areas(view.scored_visits(spark, folder, 2)).select("auc_roc")
+    return metrics.ranking_areas(_scored(spark, folder, 2)).select("auc_roc")
 
 
 @query
 def metric_auc_pr(spark, folder):
-    return metrics.ranking_areas(view.scored_visits(spark, folder, 2)).select("auc_pr")
+    return metrics.ranking_areas(_scored(spark, folder, 2)).select("auc_pr")
 
 
 @query
 def metric_ap_evaluator(spark, folder):
     evaluator = metrics.AveragePrecisionEvaluator(rawPredictionCol="score")
-    value = evaluator.evaluate(view.scored_visits(spark, folder))
+    value = evaluator.evaluate(_scored(spark, folder))
     return spark.createDataFrame([(value,)], "auc_pr double")
 
 
 @query
 def metric_report(spark, folder):
-    return metrics.classification_metrics(view.scored_visits(spark, folder), 0.4)
+    return metrics.classification_metrics(_scored(spark, folder), 0.4)
 
 
 @query
@@ -655,26 +663,26 @@ def metric_calibration(spark, folder):
 
 @query
 def curve_roc(spark, folder):
-    return metrics.roc_curve(view.scored_visits(spark, folder, 2))
+    return metrics.roc_curve(_scored(spark, folder, 2))
 
 
 @query
 def curve_pr(spark, folder):
-    return metrics.precision_recall_curve(view.scored_visits(spark, folder, 2))
+    return metrics.precision_recall_curve(_scored(spark, folder, 2))
 
 
 @query
 def prefix_running_total(spark, folder):
     """Running totals by group, cut into many ranges on purpose."""
     ranked = metrics.ranked_scores(
-        view.scored_visits(spark, folder), groups=["gender"], rows_per_range=2_000
+        _scored(spark, folder), groups=["gender"], rows_per_range=2_000
     )
     return ranked.withColumn("score", F.round(F.col("score") * 1e8).cast("long"))
 
 
 @query
 def compare_models(spark, folder):
-    scored = view.scored_visits(spark, folder)
+    scored = _scored(spark, folder)
     both = scored.select("label", F.inline(F.array(
         F.struct(F.lit("exact").alias("model"), F.col("score").alias("score")),
         F.struct(
@@ -704,7 +712,7 @@ def threshold_optimum(spark, folder):
 
 @query
 def rank_capacity(spark, folder):
-    return threshold.flag_top_share(view.scored_visits(spark, folder, 2), 0.15).select(
+    return threshold.flag_top_share(_scored(spark, folder, 2), 0.15).select(
         "encounter_id", "flagged"
     )
 
@@ -712,7 +720,7 @@ def rank_capacity(spark, folder):
 @query
 def rank_capacity_by_unit(spark, folder):
     return threshold.flag_top_share(
-        view.scored_visits(spark, folder, 2), 0.15, units=["admission_type_id"],
+        _scored(spark, folder, 2), 0.15, units=["admission_type_id"],
         rows_per_range=2_000,
     ).select("encounter_id", "admission_type_id", "flagged")
 
@@ -774,7 +782,7 @@ def fair_over_alerting(spark, folder):
 @query
 def fair_subgroup_areas(spark, folder):
     return fairness.subgroup_areas(
-        view.scored_people(spark, folder), AUDITED, rows_per_range=5_000
+        materialize(view.scored_people(spark, folder)), AUDITED, rows_per_range=5_000
     )
 
 
@@ -784,7 +792,7 @@ def fair_missed_positives(spark, folder):
 
 
 def _gender_cuts(spark, folder):
-    scored = view.scored_visits(spark, folder)
+    scored = _scored(spark, folder)
     overall = metrics.confusion(scored).first()
     target = overall["tp"] / (overall["tp"] + overall["fn"])
     curve = threshold.cost_curve(scored, groups=["gender"])
@@ -930,7 +938,7 @@ _SMALL_GRIDS = {
 def ml_tune_models(spark, folder):
     train = split.assign_folds(_prepared(spark, folder)[0], 3)
     config = RunConfig(folds=3, grids=_SMALL_GRIDS)
-    results = tuning.tune_models(materialize(training.spread(train)), config)
+    results = tuning.tune_models(training.spread(materialize(train)), config)
     return tuning.summarize_tuning(spark, results).drop("duration_s")
 
 
@@ -1001,7 +1009,10 @@ def monitor_ks(spark, folder):
 
 @query
 def monitor_ks_split(spark, folder):
-    stays = split.group_split(view.with_lines(view.visits(spark, folder), spark, folder))
+    stays = materialize(
+        split.group_split(view.with_lines(view.visits(spark, folder), spark, folder))
+        .select("split", "num_medications", "charge")
+    )
     sides = stays.withColumn("side", F.when(F.col("split") == "train", 0).otherwise(1))
     return drift.ks_drift(sides, ["num_medications", "charge"], "side")
 

@@ -30,7 +30,7 @@ def prepare_data(raw: DataFrame, config: RunConfig = RunConfig()) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str = "encounter_id", rows_per_task: int = 1_000) -> DataFrame:
-    """Give a small table enough partitions to keep all cores busy.
+    """Give a small stored table enough partitions to keep all cores busy.
 
     A table that already has as many partitions as cores is left alone.
     """
@@ -60,7 +60,7 @@ def run_training(
     train = table.where("split = 'train'").drop("split")
     holdout = table.where("split = 'test'").drop("split")
     split.assert_no_group_leakage(train, holdout, "group")
-    folded = materialize(spread(split.assign_folds(train, config.folds, seed=config.seed)))
+    folded = spread(materialize(split.assign_folds(train, config.folds, seed=config.seed)))
 
     audit = [a for a in config.protected if a in table.columns]
     results = tuning.tune_models(folded, config, audit=audit)

@@ -85,9 +85,11 @@ def lookup_join(
 ) -> DataFrame:
     """Left join to a table with one row per key.
 
-    The lookup is broadcast only after a count has shown that it is small;
-    otherwise both sides are shuffled and AQE splits the hot keys.
+    The lookup is stored, so that counting it does not make it twice, and is
+    broadcast only if the count has shown that it is small; otherwise both
+    sides are shuffled and AQE splits the hot keys.
     """
+    lookup = materialize(lookup)
     if lookup.limit(max_rows + 1).count() <= max_rows:
         lookup = F.broadcast(lookup)
     return facts.join(lookup, on, "left")
