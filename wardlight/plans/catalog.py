@@ -855,8 +855,8 @@ def _fitted(spark, folder, name="LogReg", params=None) -> PipelineModel:
 
 
 def _holdout_report(spark, folder, model) -> DataFrame:
-    scored = score.predict_risk(model, _prepared(spark, folder)[1]).persist()
-    return metrics.classification_metrics(scored)
+    scored = score.predict_risk(model, _prepared(spark, folder)[1])
+    return metrics.classification_metrics(materialize(scored))
 
 
 @query
@@ -955,7 +955,7 @@ def ml_ablation(spark, folder):
 def ml_exclude_protected(spark, folder):
     train, holdout = _prepared(spark, folder)
     model = models.fit_pipeline(train, exclude=("race", "age"))
-    scored = score.predict_risk(model, holdout).persist()
+    scored = score.predict_risk(model, holdout)
     return fairness.aggregate_fairness_metrics(scored, ["race", "age"])
 
 
@@ -964,14 +964,14 @@ def ml_reweighted(spark, folder):
     train, holdout = _prepared(spark, folder)
     weighted = fairness.add_reweighting(train, "race", into="row_weight")
     features = EncounterFeatures()
-    featured = features.transform(weighted).persist()
+    featured = materialize(features.transform(weighted))
     encoder = models.fit_encoder(featured, exclude=("row_weight",))
     encoded = materialize(
         encoder.transform(featured).select("label", "features", "row_weight")
     )
     classifier = models.fit_classifier(encoded, models.MODELS["LogReg"], weight="row_weight")
     model = models.scoring_pipeline(models.input_schema(train), features, encoder, classifier)
-    scored = score.predict_risk(model, holdout).persist()
+    scored = score.predict_risk(model, holdout)
     return fairness.aggregate_fairness_metrics(scored, ["race"])
 
 
