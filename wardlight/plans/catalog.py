@@ -781,9 +781,7 @@ def fair_over_alerting(spark, folder):
 
 @query
 def fair_subgroup_areas(spark, folder):
-    return fairness.subgroup_areas(
-        materialize(view.scored_people(spark, folder)), AUDITED, rows_per_range=5_000
-    )
+    return fairness.subgroup_areas(materialize(view.scored_people(spark, folder)), AUDITED)
 
 
 @query
