@@ -5,19 +5,74 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardlight.llm import quality_rules
+from wardlight.llm import (
+    decontaminate, line_dedup, mixing, oracle, pairwise_quality, quality_rules, url_filter,
+)
 from wardlight.llm.common import read_table
 
 
+# The rules of the URL query: verdict, host, path.
+URL_RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = pairwise_quality.held_out(F.col("doc_id"))
+    model = pairwise_quality.fit(docs, labels.where(~held_out))
+    return pairwise_quality.score(docs, model).select(
+        "row.doc_id", pairwise_quality.held_out(F.col("row.doc_id")).alias("held_out"),
+        "score", "predicted",
+    )
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.find_overlaps(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    ))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.match_rules(
+        read_table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES)
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     judged = quality_rules.judge(docs, quality_rules.fit_thresholds(docs, labels))
-    return judged.select("row.doc_id", *quality_rules.COUNTS, "base_failed", "kept",
-                         "failed_rules")
+    return judged.select("row.doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.find_recurring(read_table(spark, sf_dir, "documents"))
+    return found.select("row.doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"),
+                        "dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_mixing": op3_mixing,
+    "op5_decontamination": op5_decontamination,
+    "op7_url_filter": op7_url_filter,
     "op8_quality_rules": op8_quality_rules,
+    "op9_line_dedup": op9_line_dedup,
+}
+ORACLE_SQL: dict[str, str] = {
+    "op3_mixing": oracle.MIXING,
+    "op5_decontamination": oracle.DECONTAMINATION,
+    "op7_url_filter": oracle.URL_FILTER,
+    "op8_quality_rules": oracle.QUALITY_RULES,
 }
-ORACLE_SQL: dict[str, str] = {}
