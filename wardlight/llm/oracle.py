@@ -168,3 +168,25 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
   coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN hits USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+SUBSTRING_DEDUP = rf"""
+WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS key
+  FROM (SELECT *, unnest(range(1, len(words) - 11)) AS i FROM w)
+), repeated AS (
+  SELECT doc_id, i FROM (
+    SELECT *, min(doc_id) OVER (PARTITION BY key) AS least FROM windows
+  ) WHERE doc_id > least
+), gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS place FROM repeated),
+words AS (
+  SELECT doc_id, place, words[place] AS word
+  FROM (SELECT *, unnest(range(1, len(words) + 1)) AS place FROM w)
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+  FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""

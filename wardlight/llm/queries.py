@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight.llm import (
-    decontaminate, line_dedup, mixing, oracle, pairwise_quality, quality_rules, url_filter,
+    decontaminate, line_dedup, mixing, oracle, pairwise_quality, quality_rules, substring_dedup,
+    url_filter,
 )
 from wardlight.llm.common import read_table
 
@@ -62,6 +63,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_mixing": op3_mixing,
@@ -69,10 +74,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_filter": op7_url_filter,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": oracle.MIXING,
     "op5_decontamination": oracle.DECONTAMINATION,
     "op7_url_filter": oracle.URL_FILTER,
     "op8_quality_rules": oracle.QUALITY_RULES,
+    "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
 }
