@@ -71,10 +71,12 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         "line-keys",
     )
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
-    spread = (
+    # Stored, so that the join reads plain shuffles and a hot key can be split.
+    spread = stored(
         placed.groupBy("key", "doc_id", "tag").agg(F.lit(1).alias("one"))
         .groupBy("key").agg(F.count("*").alias("docs"), F.min(order).alias("first"))
-        .where(F.col("docs") >= min_docs).select("key", "first")
+        .where(F.col("docs") >= min_docs).select("key", "first"),
+        "recurring-keys",
     )
     return (
         placed.join(spread, "key").where(order != F.col("first"))
