@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight.llm import (
-    decontaminate, line_dedup, mixing, oracle, pairwise_quality, quality_rules, substring_dedup,
-    url_filter,
+    decontaminate, line_dedup, mixing, near_dedup, oracle, pairwise_quality, quality_rules,
+    substring_dedup, url_filter,
 )
 from wardlight.llm.common import read_table
 
@@ -45,6 +45,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "n_shingles"
+    )
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.match_rules(
         read_table(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES)
@@ -71,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_mixing": op3_mixing,
     "op5_decontamination": op5_decontamination,
+    "op6_near_dedup": op6_near_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
