@@ -190,3 +190,28 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(n, 0))::BIG
   sha256(coalesce(text, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+SUFFIX_DEDUP = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS body FROM documents),
+strings AS (
+  SELECT doc_id, i, substr(body, 2 * i + 1, 200) AS key
+  FROM (SELECT *, unnest(range(0, len(body) // 2 - 99)) AS i FROM d)
+), repeated AS (
+  SELECT doc_id, i FROM (
+    SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, i) AS n FROM strings
+  ) WHERE n > 1
+), steps AS (
+  SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, 0) AS after,
+    lag(i) OVER (PARTITION BY doc_id ORDER BY i) IS NULL AS leads
+  FROM repeated
+), cut AS (
+  SELECT doc_id, count(*) FILTER (leads OR i > after)::BIGINT AS n_spans,
+    string_agg(substr(body, 2 * after + 1, 2 * greatest(0, i - after)), '' ORDER BY i)
+      || substr(any_value(body), 2 * (max(i) + 100) + 1) AS kept
+  FROM steps JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, (len(body) // 2)::BIGINT AS n_bytes,
+  ((len(body) - len(coalesce(kept, body))) // 2)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, body))) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""

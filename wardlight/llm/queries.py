@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wardlight.llm import (
     decontaminate, line_dedup, mixing, near_dedup, oracle, pairwise_quality, quality_rules,
-    substring_dedup, url_filter,
+    substring_dedup, suffix_dedup, url_filter,
 )
 from wardlight.llm.common import read_table
 
@@ -39,6 +39,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.find_overlaps(
         read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
@@ -76,6 +80,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
     "op3_mixing": op3_mixing,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_near_dedup": op6_near_dedup,
     "op7_url_filter": op7_url_filter,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": oracle.MIXING,
+    "op4_suffix_dedup": oracle.SUFFIX_DEDUP,
     "op5_decontamination": oracle.DECONTAMINATION,
     "op7_url_filter": oracle.URL_FILTER,
     "op8_quality_rules": oracle.QUALITY_RULES,
