@@ -33,3 +33,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def row_tag(doc_id: str = "doc_id", text: str = "text") -> Column:
     """Tells rows with the same doc_id but other texts apart; never NULL."""
     return F.xxhash64(F.col(doc_id), F.col(text))
+
+
+def smallest(df: DataFrame, key: Column, n: int, at_least: int) -> DataFrame:
+    """The ``n`` rows with the smallest 64-bit hash ``key``, a bounded sample.
+
+    ``at_least`` is a lower bound of the rows there are. Rows whose key lies beyond
+    twice the share that is wanted are left out before the sort, so that a large
+    table does not send ``n`` rows per task to it.
+    """
+    share = min(1.0, 2 * n / max(1, at_least))
+    if share < 1:
+        df = df.where(key < F.lit(int(-(1 << 63) + share * (1 << 64))))
+    return df.orderBy(key).limit(n)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import stored, words
+from wardlight.llm.common import smallest, stored, words
 
 # Figure -> cutoffs from the loosest to the tightest; a text above one is rejected.
 RULES: dict[str, tuple[float, ...]] = {
@@ -169,11 +169,11 @@ def fit_thresholds(
     loosest with the largest surplus of rejected junk over rejected clean
     documents is taken. At most ``max_labelled`` labelled ids are read.
     """
-    labelled = (
+    known = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id").agg((F.min("quality") > 0).alias("clean"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     )
+    labelled = smallest(known, F.xxhash64("doc_id"), max_labelled, known.count())
     # At most max_labelled rows of two short columns.
     held = docs.join(F.broadcast(labelled), "doc_id").select("text", strata, "clean")
     figures = add_figures(text_counts(held)).where("NOT base_failed")

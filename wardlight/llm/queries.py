@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight.llm import (
-    decontaminate, line_dedup, mixing, near_dedup, oracle, pairwise_quality, quality_rules,
-    substring_dedup, suffix_dedup, url_filter,
+    decontaminate, licences, line_dedup, mixing, near_dedup, oracle, pairwise_quality,
+    quality_rules, substring_dedup, suffix_dedup, url_filter,
 )
 from wardlight.llm.common import read_table
 
@@ -24,6 +24,12 @@ URL_RULES = [
 ]
 
 
+def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_found", "licences"
+    )
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = pairwise_quality.held_out(F.col("doc_id"))
@@ -78,6 +84,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licence_scan": op1_licence_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_mixing": op3_mixing,
     "op4_suffix_dedup": op4_suffix_dedup,
