@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from wardlight.llm import (
     decontaminate, licences, line_dedup, mixing, near_dedup, oracle, pairwise_quality,
     quality_rules, substring_dedup, suffix_dedup, url_filter,
@@ -94,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
     "op3_mixing": oracle.MIXING,
