@@ -175,7 +175,7 @@ def fit_thresholds(
     )
     labelled = smallest(known, F.xxhash64("doc_id"), max_labelled, known.count())
     # At most max_labelled rows of two short columns.
-    held = docs.join(F.broadcast(labelled), "doc_id").select("text", strata, "clean")
+    held = docs.select("doc_id", "text", strata).join(F.broadcast(labelled), "doc_id")
     figures = add_figures(text_counts(held)).where("NOT base_failed")
     tries = F.explode(F.array(*[
         F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step"),
