@@ -6,9 +6,10 @@ from wardlight.operators import fairness, threshold
 
 @pytest.fixture
 def toy(spark):
-    rows = [(1, 1, "A")] * 5 + [(0, 0, "A")] * 5
-    rows += [(1, 1, "B")] * 2 + [(1, 0, "B")] * 3 + [(0, 0, "B")] * 5
-    other = ["X"] * 5 + ["Y"] * 15
+    # A: all 6 positives of 8 found; B: 1 of 4 positives of 16 found, nothing false.
+    rows = [(1, 1, "A")] * 6 + [(0, 0, "A")] * 2
+    rows += [(1, 1, "B")] + [(1, 0, "B")] * 3 + [(0, 0, "B")] * 12
+    other = ["X"] * 7 + ["Y"] * 17
     return spark.createDataFrame(
         [(*r, o) for r, o in zip(rows, other)],
         "label int, y_pred int, `group` string, other string",
@@ -23,16 +24,17 @@ def gaps(df, attributes):
 def test_report(toy):
     rows = {r["value"]: r for r in fairness.fairness_report(toy, ["group"]).collect()}
     assert set(rows) == {"A", "B"}
-    assert (rows["A"]["recall"], rows["B"]["recall"]) == (1.0, 0.4)
-    assert (rows["B"]["count"], rows["B"]["base_rate"], rows["B"]["selection_rate"]) == (10, 0.5, 0.2)
+    assert (rows["A"]["recall"], rows["B"]["recall"]) == (1.0, 0.25)
+    assert (rows["B"]["count"], rows["B"]["base_rate"], rows["B"]["selection_rate"]) == (
+        16, 0.25, 0.0625)
     assert (rows["B"]["false_positive_rate"], rows["B"]["specificity"]) == (0.0, 1.0)
-    assert rows["B"]["false_negative_rate"] == pytest.approx(0.6)
+    assert rows["B"]["false_negative_rate"] == pytest.approx(0.75)
 
 
 def test_gaps(toy):
     found = gaps(toy, ["group", "other"])
-    assert found["group"]["demographic_parity_gap"] == pytest.approx(0.3)
-    assert found["group"]["equalized_odds_gap"] == pytest.approx(0.6)
+    assert found["group"]["demographic_parity_gap"] == pytest.approx(0.6875)
+    assert found["group"]["equalized_odds_gap"] == pytest.approx(0.75)
     assert found["group"]["predictive_parity_gap"] == pytest.approx(0.0)
     assert found["other"]["n_groups"] == 2
 
@@ -118,4 +120,4 @@ def test_group_thresholds_close_the_recall_gap(spark):
 def test_missed_positives(toy):
     rows = {r["value"]: r for r in fairness.missed_positives(toy, ["group"]).collect()}
     assert (rows["A"]["n_missed"], rows["B"]["n_missed"]) == (0, 3)
-    assert rows["B"]["missed_share"] == pytest.approx(0.6)
+    assert rows["B"]["missed_share"] == pytest.approx(0.75)

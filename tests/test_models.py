@@ -184,3 +184,22 @@ def test_ablation(prepared):
     }).collect()
     assert {r["configuration"] for r in table} == {"plain", "weighted"}
     assert table[0]["auc_pr"] >= table[1]["auc_pr"]
+
+
+def test_spellings_of_missing_score_alike(spark, fitted):
+    """A kept model input is normalised like the others."""
+    one = source.example_record(spark)
+    scores = {
+        predict_risk(fitted, one.withColumn("race", F.lit(text)), 0.5).first()["score"]
+        for text in (None, "?", "None", " ")
+    }
+    assert len(scores) == 1
+
+
+def test_best_model_needs_a_score():
+    from types import SimpleNamespace
+
+    from wardlight.operators.tuning import select_best_model
+
+    found = {"a": SimpleNamespace(best_score=float("nan")), "b": SimpleNamespace(best_score=0.2)}
+    assert select_best_model(found) is found["b"]

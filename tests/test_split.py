@@ -121,3 +121,34 @@ def test_repeat_rows(spark):
     found = profile.encounters_per_patient(df).first()
     assert (found["n_patients"], found["n_repeat_patients"], found["max_encounters"]) == (2, 1, 2)
     assert found["pct_rows_repeat"] == 66.67
+
+
+def test_null_groups_have_folds_units_and_cuts(spark):
+    """A NULL key meets the NULL key: no row leaves, and none falls back to a default."""
+    from wardlight.operators import threshold
+
+    rows = [(i, i % 3, (i * 37 % 100) / 100.0, [None, "a", "b"][i % 3], int(i % 5 == 0))
+            for i in range(300)]
+    df = spark.createDataFrame(
+        rows, "encounter_id long, g int, score double, unit string, label int"
+    ).withColumn("group", F.when(F.col("g") > 0, F.col("encounter_id")))
+    for mode in ("stratified", "hash"):
+        assert split.assign_folds(df, 3, mode=mode).where("fold IS NULL").count() == 0
+    flagged = threshold.flag_top_share(df, 0.2, units=["unit"]).groupBy("unit").agg(
+        F.sum("flagged").alias("n"))
+    assert {r["unit"]: r["n"] for r in flagged.collect()} == {None: 20, "a": 20, "b": 20}
+    cuts = spark.createDataFrame([(None, 0.9), ("a", 0.1)], "unit string, threshold double")
+    labelled = threshold.apply_group_thresholds(df, cuts, ["unit"])
+    assert labelled.where("unit IS NULL AND (y_pred = 1) <> (score >= 0.9)").count() == 0
+
+
+def test_rows_without_a_patient_count_alone(spark):
+    from wardlight.operators import profile
+
+    rows = [(i, None if i % 10 == 0 else i // 2, 1) for i in range(1, 101)]
+    df = spark.createDataFrame(rows, "encounter_id long, patient_nbr long, label int")
+    known = {r[1] for r in rows if r[1] is not None}
+    assert profile.edge_encounters(df).count() == len(known) + 10
+    assert profile.encounters_per_patient(df).first()["n_patients"] == len(known)
+    found = {r["visit"]: r["n_rows"] for r in profile.first_versus_later(df).collect()}
+    assert found["first"] == len(known) + 10

@@ -51,17 +51,17 @@ def select_roles(
 ) -> DataFrame:
     """One table with ``label``, ``group`` and the feature columns.
 
-    Rows without a patient column are their own group, named by the encounter.
+    Rows without a patient are their own group, named by the encounter.
     """
     if label not in df.columns:
         raise ValueError(f"label {label!r} not found: run binarize_target first")
-    key = next((c for c in (patient, encounter) if c in df.columns), None)
-    if key is None:
+    keys = [c for c in (patient, encounter) if c in df.columns]
+    if not keys:
         raise ValueError(f"neither {patient!r} nor {encounter!r} found")
     dropped = {label, raw} | ({patient, encounter} if drop_ids else set())
     features = [c for c in df.columns if c not in dropped]
     return df.select(
-        F.col(label).cast("int").alias("label"), F.col(key).alias("group"),
+        F.col(label).cast("int").alias("label"), F.coalesce(*keys).alias("group"),
         *[F.col(f"`{c}`") for c in features],
     )
 

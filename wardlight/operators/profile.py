@@ -85,8 +85,8 @@ def rate_pivot(
 def encounters_per_patient(df: DataFrame, patient: str = PATIENT_ID) -> DataFrame:
     """Patients, repeat patients, and the spread of encounters per patient."""
     # Encounter counts repeat: (count, patients) is a small table, and the
-    # statistics below are exact on it.
-    per_patient = df.groupBy(patient).agg(F.count("*").alias("n"))
+    # statistics below are exact on it. Rows without a patient are left out.
+    per_patient = df.where(F.col(patient).isNotNull()).groupBy(patient).agg(F.count("*").alias("n"))
     sizes = per_patient.groupBy("n").agg(F.count("*").alias("patients"))
     weighted = F.sum(F.col("n") * F.col("patients"))
     many = F.col("n") > 1
@@ -175,8 +175,10 @@ def edge_encounters(
     """
     pick = {"first": F.min_by, "last": F.max_by}[which]
     whole = F.struct(*[quoted(c) for c in df.columns])
-    chosen = df.groupBy(patient).agg(pick(whole, F.struct(*order)).alias("row"))
-    return chosen.select("row.*")
+    known = df.where(F.col(patient).isNotNull())
+    chosen = known.groupBy(patient).agg(pick(whole, F.struct(*order)).alias("row"))
+    # Rows without a patient are a patient each.
+    return chosen.select("row.*").unionByName(df.where(F.col(patient).isNull()))
 
 
 def first_versus_later(
@@ -184,7 +186,9 @@ def first_versus_later(
     order: Sequence[str] = ("encounter_id",),
 ) -> DataFrame:
     """Rows, positives and rate of first encounters and of later ones."""
-    per_patient = df.groupBy(patient).agg(
+    # Rows without a patient are a patient each, told apart by the order.
+    alone = F.when(F.col(patient).isNull(), F.struct(*order)).alias("alone")
+    per_patient = df.groupBy(patient, alone).agg(
         F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("p"),
         F.min_by(F.col(label).cast("long"), F.struct(*order)).alias("p1"),
     )
@@ -213,7 +217,8 @@ def derive_readmission(
     """
     dated = visits.withColumn("__day", F.to_date(date))
     last = F.max(F.struct(F.col(date), F.col(encounter)))
-    per_day = dated.groupBy(patient, "__day").agg(last.alias("__last"))
+    # A NULL patient has no known next stay and meets nobody in the join below.
+    per_day = dated.where(F.col(patient).isNotNull()).groupBy(patient, "__day").agg(last.alias("__last"))
     following = F.lead("__day").over(W.partitionBy(patient).orderBy("__day"))
     per_day = per_day.select(
         patient, "__day", F.col(f"__last.{encounter}").alias("__last_id"),

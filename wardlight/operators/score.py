@@ -38,7 +38,9 @@ def predict_risk(
     """
     schema = expected_schema(model)
     kept = [c for c in keep if c in records.columns]
-    aligned = align_to_schema(normalize_nulls(records, tokens, keep=kept), schema, kept)
+    # A kept column that is a model input is normalised like the others.
+    carried = [c for c in kept if c not in schema.names]
+    aligned = align_to_schema(normalize_nulls(records, tokens, keep=carried), schema, kept)
     scored = model.transform(aligned).withColumn("score", positive_score())
     return scored.select(
         *kept, "score", predicted(F.col("score"), threshold).alias("y_pred")

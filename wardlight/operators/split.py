@@ -110,7 +110,9 @@ def assign_folds(
     """
     if mode == "hash":
         number = F.conv(F.substring(seeded_hash(group, seed), 1, 8), 16, 10).cast("long")
-        return df.withColumn(into, F.pmod(number, F.lit(folds)).cast("int"))
+        return df.withColumn(
+            into, F.pmod(F.coalesce(number, F.lit(0)), F.lit(folds)).cast("int")
+        )
     if mode != "stratified":
         raise ValueError(f"mode: {mode!r}")
     found = group_folds(df, folds, label, group, seed)

@@ -98,12 +98,15 @@ def source_json_records(spark, folder):
 @query
 def source_code_table(spark, folder):
     path = scratch_path(spark, "codes")
-    nations = view.read(spark, folder, "nation").where("n_nationkey < 20")
+    nations = view.read(spark, folder, "nation")
     nations.select(
         (F.col("n_nationkey") + 1).alias("code"), F.col("n_name").alias("description")
     ).write.option("header", True).csv(path)
     codes = source.load_code_table(spark, path, "admission_source_id")
-    stays = view.visits(spark, folder).select("encounter_id", "admission_source_id")
+    # Three codes of the stays are not in the table.
+    stays = view.visits(spark, folder).select(
+        "encounter_id", (F.col("admission_source_id") + 3).alias("admission_source_id")
+    )
     return clean.describe_codes(stays, codes, "admission_source_id").select(
         "encounter_id", "admission_source_id", "admission_source_id_description"
     )
@@ -205,10 +208,9 @@ def clean_drop_gender(spark, folder):
 @query
 def clean_group_categories(spark, folder):
     nation, region = view.read(spark, folder, "nation"), view.read(spark, folder, "region")
-    mapping = nation.join(
-        region.where("r_regionkey < 3"), F.col("n_regionkey") == F.col("r_regionkey")
-    ).select(
-        F.concat(F.lit("Specialty"), "n_nationkey").alias("medical_specialty"),
+    # Three specialties of the stays are not in the mapping.
+    mapping = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        F.concat(F.lit("Specialty"), F.col("n_nationkey") + 3).alias("medical_specialty"),
         F.col("r_name").alias("specialty_group"),
     )
     stays = source.normalize_nulls(
@@ -604,9 +606,9 @@ def prepare_data(spark, folder):
 # --- metrics, curves, thresholds --------------------------------------------
 
 
-def _scored(spark, folder, decimals=None):
+def _scored(spark, folder):
     """Scores stored once: ranking reads them more than once."""
-    slim = view.scored_visits(spark, folder, decimals).select(
+    slim = view.scored_visits(spark, folder).select(
         "encounter_id", "gender", "admission_type_id", "label", "score", "y_pred"
     )
     return materialize(slim)
@@ -619,12 +621,12 @@ def metric_confusion(spark, folder):
 
 @query
 def metric_auc_roc(spark, folder):
-    return metrics.ranking_areas(_scored(spark, folder, 2)).select("auc_roc")
+    return metrics.ranking_areas(_scored(spark, folder)).select("auc_roc")
 
 
 @query
 def metric_auc_pr(spark, folder):
-    return metrics.ranking_areas(_scored(spark, folder, 2)).select("auc_pr")
+    return metrics.ranking_areas(_scored(spark, folder)).select("auc_pr")
 
 
 @query
@@ -646,29 +648,31 @@ def metric_at_thresholds(spark, folder):
     )
 
 
-def _stepped(spark, folder):
-    scored = view.scored_visits(spark, folder)
-    return scored.withColumn("score", F.floor(F.col("score") * 64) / 64.0)
-
-
 @query
 def metric_histogram(spark, folder):
-    return metrics.score_histogram(_stepped(spark, folder), bins=20)
+    return metrics.score_histogram(view.scored_visits(spark, folder), bins=20)
 
 
 @query
 def metric_calibration(spark, folder):
-    return metrics.reliability_table(_stepped(spark, folder), bins=10)
+    return metrics.reliability_table(view.scored_visits(spark, folder), bins=10)
+
+
+def _shown(curve):
+    """Raw scores are ranked; the shown threshold is whole, -1 for the infinite one."""
+    whole = F.round(F.col("threshold") * 1e8)
+    return curve.withColumn("threshold", F.when(
+        F.col("threshold") < 2, whole).otherwise(-1).cast("long"))
 
 
 @query
 def curve_roc(spark, folder):
-    return metrics.roc_curve(_scored(spark, folder, 2))
+    return _shown(metrics.roc_curve(_scored(spark, folder)))
 
 
 @query
 def curve_pr(spark, folder):
-    return metrics.precision_recall_curve(_scored(spark, folder, 2))
+    return _shown(metrics.precision_recall_curve(_scored(spark, folder)))
 
 
 @query
@@ -712,7 +716,7 @@ def threshold_optimum(spark, folder):
 
 @query
 def rank_capacity(spark, folder):
-    return threshold.flag_top_share(_scored(spark, folder, 2), 0.15).select(
+    return threshold.flag_top_share(_scored(spark, folder), 0.15).select(
         "encounter_id", "flagged"
     )
 
@@ -720,7 +724,7 @@ def rank_capacity(spark, folder):
 @query
 def rank_capacity_by_unit(spark, folder):
     return threshold.flag_top_share(
-        _scored(spark, folder, 2), 0.15, units=["admission_type_id"],
+        _scored(spark, folder), 0.15, units=["admission_type_id"],
         rows_per_range=2_000,
     ).select("encounter_id", "admission_type_id", "flagged")
 
@@ -976,9 +980,11 @@ def ml_reweighted(spark, folder):
 @query
 def ml_calibrated(spark, folder):
     train, holdout = _prepared(spark, folder)
-    model = _fitted(spark, folder)
-    isotonic = calibrate.fit_calibration(score.predict_risk(model, train))
-    scored = calibrate.calibrated(isotonic, score.predict_risk(model, holdout))
+    folded = materialize(split.assign_folds(train, 3))
+    config = RunConfig(folds=3, models=("LogReg",), grids=dict(QUICK_GRIDS))
+    found = tuning.tune_models(folded, config)["LogReg"]
+    isotonic = calibrate.fit_calibration(found.out_of_fold)
+    scored = calibrate.calibrated(isotonic, score.predict_risk(found.model, holdout))
     return metrics.reliability_table(scored, "calibrated", bins=5)
 
 

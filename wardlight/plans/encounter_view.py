@@ -144,12 +144,9 @@ def encounters(spark: SparkSession, folder: str) -> DataFrame:
     return normalize_nulls(raw_encounters(spark, folder), keep=("readmitted",))
 
 
-def scored_visits(spark: SparkSession, folder: str, decimals: int | None = None) -> DataFrame:
+def scored_visits(spark: SparkSession, folder: str) -> DataFrame:
     """Visits with a deterministic score in [0, 1] and a label at 0.4."""
     score = F.least(F.lit(1.0), F.col("charge") / 1e6 + 0.3 * F.col("label"))
-    if decimals is not None:
-        scale = float(10**decimals)
-        score = F.floor(score * scale) / scale
     stays = labelled_visits(spark, folder).withColumn("score", score)
     return stays.withColumn("y_pred", as_flag(F.col("score") >= 0.4))
 

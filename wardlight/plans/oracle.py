@@ -329,10 +329,9 @@ def _source_sql() -> dict[str, str]:
     return {
         "source_encounters_csv": f"{_VIEWS} SELECT {record} FROM enc",
         "source_json_records": f"{_VIEWS} SELECT {record} FROM enc",
-        "source_code_table": f"""{_VIEWS} SELECT encounter_id, admission_source_id,
-          n_name AS admission_source_id_description
-          FROM stays LEFT JOIN nation ON admission_source_id = n_nationkey + 1
-            AND n_nationkey < 20""",
+        "source_code_table": f"""{_VIEWS} SELECT encounter_id,
+          admission_source_id + 3 AS admission_source_id, n_name AS admission_source_id_description
+          FROM stays LEFT JOIN nation ON admission_source_id + 3 = n_nationkey + 1""",
         "sink_csv_report": f"""{_VIEWS}, c AS (SELECT attribute, value, {_COUNTS} FROM long_people
           GROUP BY ALL) SELECT attribute, value, {_RATES}, tp, fp, tn, fn FROM c""",
         "sink_json_metrics": f"""{_VIEWS} {_ranked('scored')}, c AS (SELECT {_COUNTS} FROM scored)
@@ -361,8 +360,8 @@ def _source_sql() -> dict[str, str]:
         "clean_drop_gender": f"""{_VIEWS} SELECT encounter_id, gender FROM stays
           WHERE gender <> 'P'""",
         "clean_group_categories": f"""{_VIEWS}, m AS (
-            SELECT concat('Specialty', n_nationkey) AS medical_specialty, r_name
-            FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_regionkey < 3)
+            SELECT concat('Specialty', n_nationkey + 3) AS medical_specialty, r_name
+            FROM nation JOIN region ON n_regionkey = r_regionkey)
           SELECT e.encounter_id, e.medical_specialty,
             CASE WHEN e.medical_specialty IS NULL THEN 'Unknown' ELSE coalesce(m.r_name, 'Other') END
               AS specialty_group
@@ -515,9 +514,9 @@ def _metric_sql(cuts: list[float]) -> dict[str, str]:
     curve = _curve("scored", cuts)
     return {
         "metric_confusion": f"{_VIEWS} SELECT {_COUNTS} FROM scored",
-        "metric_auc_roc": f"""{_VIEWS} {_ranked('rounded', 'score2')}
+        "metric_auc_roc": f"""{_VIEWS} {_ranked('scored')}
           SELECT auc_roc FROM (SELECT {_AREAS} FROM ranked)""",
-        "metric_auc_pr": f"""{_VIEWS} {_ranked('rounded', 'score2')}
+        "metric_auc_pr": f"""{_VIEWS} {_ranked('scored')}
           SELECT auc_pr FROM (SELECT {_AREAS} FROM ranked)""",
         "metric_ap_evaluator": f"""{_VIEWS} {_ranked('scored')}
           SELECT auc_pr FROM (SELECT {_AREAS} FROM ranked)""",
@@ -533,23 +532,23 @@ def _metric_sql(cuts: list[float]) -> dict[str, str]:
           SELECT threshold, tp, fp, tn, fn, {_POINT},
             {_r(_div("10 * tp", "10 * tp + 9 * fn + fp", "0"), "f3")} FROM c""",
         "metric_histogram": f"""{_VIEWS}, b AS (SELECT least(19, CAST(floor(score2 * 20) AS BIGINT)) AS bin
-            FROM (SELECT floor(score * 64) / 64 AS score2 FROM scored))
+            FROM (SELECT score AS score2 FROM scored))
           SELECT bin, round(bin / 20.0, 6) AS low, round((bin + 1) / 20.0, 6) AS high,
             count(*) AS n, round(count(*) / CAST((SELECT count(*) FROM b) AS DOUBLE), 6) AS share
           FROM b GROUP BY bin""",
         "metric_calibration": f"""{_VIEWS}, b AS (SELECT least(9, CAST(floor(score2 * 10) AS BIGINT)) AS bin,
-            score2 AS score, label FROM (SELECT floor(score * 64) / 64 AS score2, label FROM scored))
+            score2 AS score, label FROM (SELECT score AS score2, label FROM scored))
           SELECT bin, count(*) AS n, round(avg(score), 6) AS mean_score,
             round(avg(label), 6) AS observed_rate, round(avg(label) - avg(score), 6) AS gap
           FROM b GROUP BY bin""",
-        "curve_roc": f"""{_VIEWS} {_ranked('rounded', 'score2')}
-          SELECT score AS threshold, round(CAST(fp AS DOUBLE) / n_neg, 6) AS fpr,
-            round(CAST(tp AS DOUBLE) / n_pos, 6) AS tpr FROM ranked
-          UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0""",
-        "curve_pr": f"""{_VIEWS} {_ranked('rounded', 'score2')}
-          SELECT score AS threshold, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision,
-            round(CAST(tp AS DOUBLE) / n_pos, 6) AS recall FROM ranked
-          UNION ALL SELECT CAST('inf' AS DOUBLE), 1, 0""",
+        "curve_roc": f"""{_VIEWS} {_ranked('scored')}
+          SELECT CAST(round(score * 100000000) AS BIGINT) AS threshold, CAST(fp AS DOUBLE) / n_neg AS fpr,
+            CAST(tp AS DOUBLE) / n_pos AS tpr FROM ranked
+          UNION ALL SELECT -1, 0, 0""",
+        "curve_pr": f"""{_VIEWS} {_ranked('scored')}
+          SELECT CAST(round(score * 100000000) AS BIGINT) AS threshold, CAST(tp AS DOUBLE) / (tp + fp) AS precision,
+            CAST(tp AS DOUBLE) / n_pos AS recall FROM ranked
+          UNION ALL SELECT -1, 1, 0""",
         "prefix_running_total": f"""{_VIEWS} {_ranked('scored_people', 'score', 'gender')}
           SELECT gender, CAST(round(score * 100000000) AS BIGINT) AS score, pos, neg, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
             CAST(n_pos AS BIGINT) AS n_pos, CAST(n_neg AS BIGINT) AS n_neg FROM ranked""",
@@ -571,12 +570,12 @@ def _metric_sql(cuts: list[float]) -> dict[str, str]:
             {_r(_div("tp", "tp + fp", "0"), "optimal_precision")},
             {_r(_div("2 * tp", "2 * tp + fn + fp", "0"), "optimal_f1")}, tp, fp, tn, fn FROM best""",
         "rank_capacity": f"""{_VIEWS}, r AS (SELECT encounter_id, row_number() OVER (
-            ORDER BY score2 DESC, encounter_id) AS place, count(*) OVER () AS n FROM rounded)
+            ORDER BY score DESC, encounter_id) AS place, count(*) OVER () AS n FROM scored)
           SELECT encounter_id, CASE WHEN place <= floor(CAST(0.15 AS DOUBLE) * n) THEN 1 ELSE 0 END AS flagged
           FROM r""",
         "rank_capacity_by_unit": f"""{_VIEWS}, r AS (SELECT encounter_id, admission_type_id, row_number() OVER (
-            PARTITION BY admission_type_id ORDER BY score2 DESC, encounter_id) AS place,
-            count(*) OVER (PARTITION BY admission_type_id) AS n FROM rounded)
+            PARTITION BY admission_type_id ORDER BY score DESC, encounter_id) AS place,
+            count(*) OVER (PARTITION BY admission_type_id) AS n FROM scored)
           SELECT encounter_id, admission_type_id,
             CASE WHEN place <= floor(CAST(0.15 AS DOUBLE) * n) THEN 1 ELSE 0 END AS flagged FROM r""",
         "monitor_ks": f"""WITH half AS (SELECT value, event_type,

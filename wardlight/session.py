@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a lookup side may have before it is no longer broadcast.
-BROADCAST_ROWS = 100_000
 
 _SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -48,7 +47,8 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can read, named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder.
+    Only a one-process session (``local[...]``, as in tests) may leave it unset;
+    it then gets a temporary folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -56,7 +56,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     made = tempfile.mkdtemp(prefix="wardlight-")
     spark.sparkContext.setCheckpointDir(made)
@@ -69,27 +69,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
-def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: list[str],
-    max_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Left join to a table with one row per key.
-
-    The lookup is stored, so that counting it does not make it twice, and is
-    broadcast only if the count has shown that it is small; otherwise both
+    """Cut the lineage: write the table to the shared folder as Parquet and read it.
+
+    Readers prune columns, push filters and know the size; ``discard`` removes it.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more (only those of ``materialize``)."""
+    for table in tables:
+        jvm = table.sparkSession._jvm
+        settings = table.sparkSession._jsc.hadoopConfiguration()
+        for name in table.inputFiles()[:1]:
+            folder = jvm.org.apache.hadoop.fs.Path(name).getParent()
+            if folder.getName().startswith("table-"):
+                folder.getFileSystem(settings).delete(folder, True)
+
+
+def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
+    """Left join to a table with one row per key; a NULL key meets the NULL key.
+
+    The lookup is stored, so its bytes are known: below
+    ``spark.sql.autoBroadcastJoinThreshold`` Spark broadcasts it, otherwise both
     sides are shuffled and AQE splits the hot keys.
     """
-    lookup = materialize(lookup)
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        lookup = F.broadcast(lookup)
-    return facts.join(lookup, on, "left")
+    renamed = {c: f"__of_{c}" for c in on}
+    lookup = materialize(lookup).withColumnsRenamed(renamed)
+    same = reduce(and_, [facts[c].eqNullSafe(lookup[k]) for c, k in renamed.items()])
+    return facts.join(lookup, same, "left").drop(*renamed.values())
