@@ -124,15 +124,18 @@ def _fractional_statistics(
 ) -> dict[str, tuple]:
     """(known rows, mean, variance, median) of other numeric columns.
 
-    One pass for the moments and one for the medians: the built-in exact
-    median where distinct values are few, ranked values or a sketch elsewhere.
+    One pass for the moments and one for the medians. ``approximate`` takes them
+    from a sketch, at any size; else they are exact, by the built-in median where
+    distinct values are few and by ranked values elsewhere.
     """
     known = {c: F.nanvl(_number(c), F.lit(None).cast("double")) for c in columns}
     row = df.agg(*[a for i, c in enumerate(columns) for a in (
         F.count(known[c]).alias(f"n{i}"), F.avg(known[c]).alias(f"m{i}"),
         F.var_pop(known[c]).alias(f"v{i}"), F.approx_count_distinct(known[c]).alias(f"d{i}"),
     )]).first()
-    few = [c for i, c in enumerate(columns) if row[f"d{i}"] <= MEDIAN_VALUES]
+    few = [
+        c for i, c in enumerate(columns) if not approximate and row[f"d{i}"] <= MEDIAN_VALUES
+    ]
     many = [c for c in columns if c not in few]
     medians: dict[str, float | None] = {}
     if few:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -890,6 +891,44 @@ def ml_predict_risk(spark, folder):
     return score.predict_risk(_fitted(spark, folder), view.encounters(spark, folder), 0.5)
 
 
+@query
+def ml_score_spellings(spark, folder):
+    """A missing race scores alike however it is spelled, though the column is kept."""
+    holdout, spellings = _prepared(spark, folder)[1], ("NULL", "?", "None", "NA", " ")
+    spelled = holdout.withColumn(
+        "spelling", F.explode(F.array(*[F.lit(s) for s in spellings]))
+    ).withColumn("race", F.when(F.col("spelling") != "NULL", F.col("spelling")))
+    scored = materialize(score.predict_risk(
+        _fitted(spark, folder), spelled, keep=("encounter_id", "spelling", "race")
+    ))
+    plain = scored.where("spelling = 'NULL'").select(
+        "encounter_id", F.col("score").alias("plain")
+    )
+    return scored.join(plain, "encounter_id").groupBy("spelling").agg(
+        F.count("*").alias("n_rows"),
+        F.count_if((F.col("score") != F.col("plain")) | F.col("race").isNotNull())
+        .alias("n_different"),
+    )
+
+
+@query
+def ml_models_scored(spark, folder):
+    """Holdout rows each model scores; none outside [0, 1], none without a label."""
+    fitted = {
+        "LogReg": _fitted(spark, folder),
+        "RandomForest": _fitted(spark, folder, "RandomForest", _SMALL_FOREST),
+        "BoostedTrees": _fitted(spark, folder, "BoostedTrees", _SMALL_BOOST),
+    }
+    scored = [
+        score.predict_risk(model, _prepared(spark, folder)[1]).withColumn("model", F.lit(name))
+        for name, model in fitted.items()
+    ]
+    good = F.col("score").between(0, 1) & F.col("y_pred").isin(0, 1)
+    return reduce(DataFrame.unionByName, scored).groupBy("model").agg(
+        F.count("*").alias("n_rows"), F.count_if(~good).alias("n_outside")
+    )
+
+
 @query
 def ml_example_record(spark, folder):
     return score.predict_risk(_fitted(spark, folder), source.example_record(spark))

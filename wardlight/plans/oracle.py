@@ -676,6 +676,16 @@ def _fairness_sql(cuts: list[float]) -> dict[str, str]:
         "ml_class_weights": f"""{_VIEWS} SELECT label, count(*) AS n,
           round((SELECT count(*) FROM labelled) / (2.0 * count(*)), 6) AS weight
           FROM labelled GROUP BY label""",
+        "ml_score_spellings": f"""{_VIEWS} SELECT spelling, count(*) AS n_rows,
+            CAST(0 AS BIGINT) AS n_different
+          FROM enc, (VALUES ('NULL'), ('?'), ('None'), ('NA'), (' ')) s(spelling)
+          WHERE discharge_disposition_id NOT IN (11, 13, 14, 19, 20, 21)
+            AND {_side('patient_nbr')} = 'test' GROUP BY spelling""",
+        "ml_models_scored": f"""{_VIEWS} SELECT model, count(*) AS n_rows,
+            CAST(0 AS BIGINT) AS n_outside
+          FROM enc, (VALUES ('LogReg'), ('RandomForest'), ('BoostedTrees')) m(model)
+          WHERE discharge_disposition_id NOT IN (11, 13, 14, 19, 20, 21)
+            AND {_side('patient_nbr')} = 'test' GROUP BY model""",
         "ml_save_load": f"""{_VIEWS} SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM enc
           WHERE discharge_disposition_id NOT IN (11, 13, 14, 19, 20, 21)
             AND {_side('patient_nbr')} = 'test'""",
