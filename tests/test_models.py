@@ -123,7 +123,7 @@ def test_coefficients_and_importances(prepared, fitted):
 
 def test_permutation_importance(prepared, fitted):
     found = explain.permutation_importance(
-        fitted, prepared[0], ["number_inpatient", "age"], rows_per_block=200
+        fitted, prepared[0].repartition(7), ["number_inpatient", "age"]
     ).collect()
     assert found[0]["feature"] == "number_inpatient" and found[0]["importance"] > 0.02
     with pytest.raises(ValueError, match="not inputs"):

@@ -134,12 +134,9 @@ def sink_prediction_log(spark, folder):
     scored = view.scored_visits(spark, folder).withColumn("score_date", F.to_date("admitted"))
     path = scratch_path(spark, "log")
     for odd in (0, 1):
-        part = scored.where(F.col("encounter_id") % 2 == odd).withColumn(
-            "score_date", F.date_format("score_date", "yyyy-MM")
-        )
-        sinks.append_predictions(part, path, extra=["admitted"])
+        sinks.append_predictions(scored.where(F.col("encounter_id") % 2 == odd), path)
     return spark.read.parquet(path).groupBy(
-        F.date_format("admitted", "yyyy-MM-dd").alias("score_date")
+        F.date_format("score_date", "yyyy-MM-dd").alias("score_date")
     ).agg(
         F.count("*").alias("n"), F.sum("y_pred").alias("n_flagged"),
         F.sum(F.round(F.col("score") * 1e8).cast("long")).alias("score_sum"),
