@@ -12,11 +12,12 @@ larger than the sketch merely filters less.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ FLUSH = 4_000_000
 
 
 def cells_for(hashes: int) -> int:
-    """Counters per row: a power of two, four times the hashes, within the bounds."""
-    return min(MAX_CELLS, max(MIN_CELLS, 1 << max(0, 4 * int(hashes) - 1).bit_length()))
+    """Counters per row: a power of two, twice the hashes at least, within the bounds."""
+    return min(MAX_CELLS, max(MIN_CELLS, 1 << max(0, 2 * int(hashes) - 1).bit_length()))
 
 
 def cell(hashes: np.ndarray, row: int, cells: int) -> np.ndarray:
@@ -103,7 +104,8 @@ def repeated_cells(
 ) -> np.ndarray:
     """A row of bits per sketch row: counters that reached two.
 
-    ``extract`` gives the hashes (uint64) of a batch in pieces.
+    ``extract`` gives the hashes (uint64) of a batch in pieces. ``df`` should be a
+    scan: a shuffle below it would run once more for the number of partitions.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,6 +138,16 @@ def repeated_cells(
     return bits
 
 
+def send(df: DataFrame, bits: np.ndarray) -> Broadcast:
+    """Broadcast the bits, compressed: most counters stay below two."""
+    return df.sparkSession.sparkContext.broadcast((bits.shape, zlib.compress(bits.data, 1)))
+
+
+def received(sent: Broadcast) -> np.ndarray:
+    shape, data = sent.value
+    return np.frombuffer(zlib.decompress(data), np.uint8).reshape(shape)
+
+
 def maybe_repeated(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Which hashes the sketch counts twice or more."""
     cells = bits.shape[1] * 8

@@ -33,7 +33,7 @@ from wardlight.llm.common import row_tag, word_hashes
 
 SIZE = 13
 # Words a task works on at once.
-PIECE = 400_000
+PIECE = 150_000
 
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 _SPREAD = np.uint64(0xBF58476D1CE4E5B9)
@@ -113,14 +113,15 @@ def _runs(rows: np.ndarray, places: np.ndarray, size: int):
     return rows[first], places[first], places[last] + size
 
 
-CANDIDATES = "h1 long, h2 long, doc_id long, tag long, start int, end int, certain boolean"
+CANDIDATES = "h1 long, h2 long, doc_id long, tag long, start int, length int, certain boolean"
 
 
 def candidates(hashed: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
     """Windows the sketch lets pass, and word ranges settled inside a batch."""
-    sent = hashed.sparkSession.sparkContext.broadcast(bits)
+    sent = sketch.send(hashed, bits)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sketch.received(sent)
         for batch in batches:
             lists = batch.column("hashes")
             offsets = lists.offsets.to_numpy().astype(np.int64)
@@ -130,7 +131,7 @@ def candidates(hashed: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
             held = []
             for row, _, values, rows, places in pieces(lists, size):
                 h1 = _of_piece(offsets, row, values, rows, places, size, 0)
-                passed = sketch.maybe_repeated(sent.value, h1) & known[rows]
+                passed = sketch.maybe_repeated(bits, h1) & known[rows]
                 h2 = _of_piece(offsets, row, values, rows, places, size, 0x5851F42D4C957F2D)
                 held.append((h1[passed], (h2[passed] >> np.uint64(32)).astype(np.int64),
                              rows[passed], places[passed]))
@@ -146,7 +147,9 @@ def candidates(hashed: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
             certain = docs > docs[new][group] if len(docs) else new
             sure = np.lexsort((places[certain], rows[certain]))
             in_row, start, end = _runs(rows[certain][sure], places[certain][sure], size)
-            left = ~certain
+            # In the rows' order, a row's id and tag repeat and shrink in the shuffle.
+            left = np.flatnonzero(~certain)
+            left = left[np.lexsort((places[left], rows[left]))]
             all_rows = np.concatenate([rows[left], in_row])
             # Settled ranges travel under keys of their own, spread like hashes.
             own = mix(in_row.astype(np.uint64), start.astype(np.uint64) + np.uint64(batch.num_rows))
@@ -155,9 +158,9 @@ def candidates(hashed: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
                 pa.array(np.concatenate([h2[left], np.full(len(own), -1)])),
                 pa.array(ids[all_rows]), pa.array(tags[all_rows]),
                 pa.array(np.concatenate([places[left], start]).astype(np.int32)),
-                pa.array(np.concatenate([places[left] + size, end]).astype(np.int32)),
-                pa.array(np.concatenate([np.zeros(left.sum(), bool), np.ones(len(own), bool)])),
-            ], ["h1", "h2", "doc_id", "tag", "start", "end", "certain"])
+                pa.array(np.concatenate([np.full(len(left), size), end - start]).astype(np.int32)),
+                pa.array(np.concatenate([np.zeros(len(left), bool), np.ones(len(own), bool)])),
+            ], ["h1", "h2", "doc_id", "tag", "start", "length", "certain"])
 
     return hashed.mapInArrow(probe, CANDIDATES)
 
@@ -177,7 +180,8 @@ def repeated_ranges(docs: DataFrame, size: int = SIZE, cells: int | None = None)
     found = candidates(hashed, bits, size).withColumn("least", least)
     return (
         found.where("certain OR doc_id > least").groupBy("doc_id", "tag")
-        .agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+        .agg(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("end")))
+             .alias("ranges"))
     )
 
 
