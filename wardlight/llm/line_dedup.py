@@ -65,13 +65,17 @@ def templates(docs: DataFrame) -> DataFrame:
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, tag and the sorted numbers of the lines to drop; only rows with such lines."""
     lines = stored(templates(docs), "line-templates").where("n > 0")
-    busy = lines.groupBy("leaf").agg(F.count("*").alias("found")).where(F.col("found") >= min_docs)
+    # Stored, so that the joins read plain shuffles and a hot key can be split.
+    busy = stored(
+        lines.groupBy("leaf").agg(F.count("*").alias("found"))
+        .where(F.col("found") >= min_docs).select("leaf"),
+        "busy-leaves",
+    )
     placed = stored(
         lines.join(busy, "leaf").select("doc_id", "tag", "line", F.explode("keys").alias("key")),
         "line-keys",
     )
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
-    # Stored, so that the join reads plain shuffles and a hot key can be split.
     spread = stored(
         placed.groupBy("key", "doc_id", "tag").agg(F.lit(1).alias("one"))
         .groupBy("key").agg(F.count("*").alias("docs"), F.min(order).alias("first"))
