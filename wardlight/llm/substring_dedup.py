@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -165,8 +165,20 @@ def candidates(hashed: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
     return hashed.mapInArrow(probe, CANDIDATES)
 
 
+def packed_range() -> Column:
+    """Start and end of a range in one whole number, which shuffles smaller."""
+    start = F.col("start").cast("long")
+    return F.shiftleft(start, 32) + start + F.col("length")
+
+
+def unpacked(ranges: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+    """The starts and ends of packed ranges; none for NULL."""
+    found = ranges.values.to_numpy() if ranges.is_valid else np.zeros(0, np.int64)
+    return found >> 32, found & 0xFFFFFFFF
+
+
 def repeated_ranges(docs: DataFrame, size: int = SIZE, cells: int | None = None) -> DataFrame:
-    """doc_id, tag and the word ranges (start, end) to remove; rows with such only."""
+    """doc_id, tag and the packed word ranges to remove; rows with such only."""
     if cells is None:
         # A word takes six bytes or so, its blank included.
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -180,19 +192,18 @@ def repeated_ranges(docs: DataFrame, size: int = SIZE, cells: int | None = None)
     found = candidates(hashed, bits, size).withColumn("least", least)
     return (
         found.where("certain OR doc_id > least").groupBy("doc_id", "tag")
-        .agg(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("end")))
-             .alias("ranges"))
+        .agg(F.collect_list(packed_range()).alias("ranges"))
     )
 
 
-def kept_words(text: bytes, ranges: np.ndarray) -> tuple[int, int, bytes]:
+def kept_words(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[int, int, bytes]:
     """Number of words, number removed, and the kept words joined by blanks."""
     found = text.split()
-    if not len(ranges):
+    if not len(start):
         return len(found), 0, b" ".join(found)
     cover = np.zeros(len(found) + 1, np.int64)
-    np.add.at(cover, ranges[:, 0], 1)
-    np.add.at(cover, ranges[:, 1], -1)
+    np.add.at(cover, start, 1)
+    np.add.at(cover, end, -1)
     gone = np.cumsum(cover[:-1]) > 0
     kept = [w for w, g in zip(found, gone.tolist()) if not g]
     return len(found), len(found) - len(kept), b" ".join(kept)
@@ -209,18 +220,14 @@ def remove_repeats(
                        row_tag().alias("tag"), "text")
     joined = rows.join(
         found, (F.col("doc_id") == F.col("in_doc")) & (F.col("tag") == F.col("in_row")), "left"
-    ).select("doc_id", "text", F.col("ranges.start").alias("start"),
-             F.col("ranges.end").alias("end"))
+    ).select("doc_id", "text", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             out = []
-            for text, start, end in zip(texts, batch.column("start"), batch.column("end")):
-                ranges = np.zeros((0, 2), np.int64)
-                if start.is_valid:
-                    ranges = np.stack([start.values.to_numpy(), end.values.to_numpy()], 1)
-                n, removed, kept = kept_words(text.as_py() or b"", ranges)
+            for text, ranges in zip(texts, batch.column("ranges")):
+                n, removed, kept = kept_words(text.as_py() or b"", *unpacked(ranges))
                 out.append((n, removed, hashlib.sha256(kept).hexdigest(),
                             kept.decode() if with_text else None))
             n, removed, digest, kept = zip(*out) if out else ((), (), (), ())
