@@ -37,15 +37,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardlight.llm import sketch
-from wardlight.llm.common import row_tag
-from wardlight.llm.substring_dedup import mix
+from wardlight.llm.common import row_tag, stored
+from wardlight.llm.substring_dedup import mix, packed_range, unpacked
 
 SIZE = 100
 GRAM = 8
 REACH = 48
 CORE = SIZE - REACH + 1
 # Bytes a task works on at once.
-PIECE = 1_500_000
+PIECE = 1_000_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -159,7 +159,9 @@ def settle(h1, h2, rows, start, end, ids, tags) -> pa.RecordBatch:
         head = np.flatnonzero(fresh)
         tail = np.append(head[1:], len(r)) - 1
         r, s, e = r[head], s[head], e[tail]
-    left = ~certain
+    # In the rows' order, a row's id and tag repeat and shrink in the shuffle.
+    left = np.flatnonzero(~certain)
+    left = left[np.lexsort((start[left], rows[left]))]
     own = mix(r.astype(np.uint64), s.astype(np.uint64))
     in_row = np.concatenate([rows[left], r])
     return pa.RecordBatch.from_arrays([
@@ -167,12 +169,12 @@ def settle(h1, h2, rows, start, end, ids, tags) -> pa.RecordBatch:
         pa.array(np.concatenate([h2[left], mix(own, own)]).view(np.int64)),
         pa.array(ids[in_row]), pa.array(tags[in_row]),
         pa.array(np.concatenate([start[left], s]).astype(np.int32)),
-        pa.array(np.concatenate([end[left], e]).astype(np.int32)),
-        pa.array(np.concatenate([np.zeros(int(left.sum()), bool), np.ones(len(r), bool)])),
-    ], ["h1", "h2", "doc_id", "tag", "start", "end", "certain"])
+        pa.array(np.concatenate([end[left] - start[left], e - s]).astype(np.int32)),
+        pa.array(np.concatenate([np.zeros(len(left), bool), np.ones(len(r), bool)])),
+    ], ["h1", "h2", "doc_id", "tag", "start", "length", "certain"])
 
 
-CANDIDATES = "h1 long, h2 long, doc_id long, tag long, start int, end int, certain boolean"
+CANDIDATES = "h1 long, h2 long, doc_id long, tag long, start int, length int, certain boolean"
 
 
 def _repeated_phrases(batch: pa.RecordBatch, bits: np.ndarray):
@@ -189,11 +191,12 @@ def _repeated_phrases(batch: pa.RecordBatch, bits: np.ndarray):
 
 def phrases(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     """Dictionary candidates: phrases by (core, phrase) hash."""
-    sent = docs.sparkSession.sparkContext.broadcast(bits)
+    sent = sketch.send(docs, bits)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = sketch.received(sent)
         for batch in batches:
-            found = _repeated_phrases(batch, sent.value)
+            found = _repeated_phrases(batch, bits)
             if found:
                 yield settle(*found, batch.column("doc_id").fill_null(0).to_numpy(),
                              batch.column("tag").to_numpy())
@@ -201,7 +204,7 @@ def phrases(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     return docs.mapInArrow(probe, CANDIDATES)
 
 
-def _string_hashes(batch: pa.RecordBatch, bits: np.ndarray, shared: np.ndarray):
+def _string_hashes(batch: pa.RecordBatch, shared: np.ndarray):
     """The strings of a batch's dictionary entries whose core several entries share.
 
     Per piece: two hashes, row and start.
@@ -233,23 +236,32 @@ def _string_hashes(batch: pa.RecordBatch, bits: np.ndarray, shared: np.ndarray):
         yield mix(a, b), mix(b, a), piece.row[each], at - piece.begin[each]
 
 
-def strings(docs: DataFrame, bits: np.ndarray, shared: np.ndarray, cells: int) -> DataFrame:
+def strings(docs: DataFrame, shared: np.ndarray, cells: int) -> DataFrame:
     """Suffix candidates: strings of entries that share a core, which may repeat."""
+    sent_shared = sketch.send(docs, shared)
+    held: list[np.ndarray] = []  # of one worker: the bits, unpacked once
+
+    def bits_of_worker() -> np.ndarray:
+        if not held:
+            held.append(sketch.received(sent_shared))
+        return held[0]
+
     def extract(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for h1, _, _, _ in _string_hashes(batch, bits, shared):
+        for h1, _, _, _ in _string_hashes(batch, bits_of_worker()):
             yield h1
 
     again = sketch.repeated_cells(docs, extract, cells)
-    sent = docs.sparkSession.sparkContext.broadcast(again)
+    sent = sketch.send(docs, again)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, shared = sketch.received(sent), sketch.received(sent_shared)
         for batch in batches:
-            held = []
-            for h1, h2, rows, start in _string_hashes(batch, bits, shared):
-                pick = sketch.maybe_repeated(sent.value, h1)
-                held.append((h1[pick], h2[pick], rows[pick], start[pick], start[pick] + SIZE))
-            if held:
-                yield settle(*[np.concatenate(x) for x in zip(*held)],
+            found = []
+            for h1, h2, rows, start in _string_hashes(batch, shared):
+                pick = sketch.maybe_repeated(bits, h1)
+                found.append((h1[pick], h2[pick], rows[pick], start[pick], start[pick] + SIZE))
+            if found:
+                yield settle(*[np.concatenate(x) for x in zip(*found)],
                              batch.column("doc_id").fill_null(0).to_numpy(),
                              batch.column("tag").to_numpy())
 
@@ -257,7 +269,7 @@ def strings(docs: DataFrame, bits: np.ndarray, shared: np.ndarray, cells: int) -
 
 
 def repeated_ranges(docs: DataFrame, cells: int | None = None) -> DataFrame:
-    """doc_id, tag and the byte ranges (start, end) to remove; rows with such only."""
+    """doc_id, tag and the packed byte ranges to remove; rows with such only."""
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_tag().alias("tag"),
                          F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     if cells is None:
@@ -266,10 +278,11 @@ def repeated_ranges(docs: DataFrame, cells: int | None = None) -> DataFrame:
     bits = sketch.repeated_cells(hashed, _cores, cells)
     entries = phrases(hashed, bits)
     # Cores with more than one entry, as a bit table like the sketch's.
-    shared = (
+    shared = stored(
         entries.where("NOT certain").groupBy("h1")
         .agg(F.min("h2").alias("least"), F.max("h2").alias("most")).where("least != most")
-        .select("h1")
+        .select("h1"),
+        "shared-cores",
     )
 
     def both(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -277,12 +290,12 @@ def repeated_ranges(docs: DataFrame, cells: int | None = None) -> DataFrame:
         yield np.concatenate([found, found])
 
     shared_bits = sketch.repeated_cells(shared, both, cells)
-    found = entries.unionByName(strings(hashed, bits, shared_bits, cells))
+    found = entries.unionByName(strings(hashed, shared_bits, cells))
     least = F.min(F.struct("doc_id", "start")).over(W.partitionBy("h1", "h2"))
     return (
         found.withColumn("least", least)
         .where(F.col("certain") | (F.struct("doc_id", "start") > F.col("least")))
-        .groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("ranges"))
+        .groupBy("doc_id", "tag").agg(F.collect_list(packed_range()).alias("ranges"))
     )
 
 
@@ -309,18 +322,14 @@ def remove_repeats(
                        F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     joined = rows.join(
         found, (F.col("doc_id") == F.col("in_doc")) & (F.col("tag") == F.col("in_row")), "left"
-    ).select("doc_id", "text", F.col("ranges.start").alias("start"),
-             F.col("ranges.end").alias("end"))
+    ).select("doc_id", "text", "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            none = np.zeros(0, np.int64)
             out = []
-            for text, start, end in zip(*(batch.column(c) for c in ("text", "start", "end"))):
+            for text, ranges in zip(batch.column("text"), batch.column("ranges")):
                 body = text.as_py()
-                ranges = (start.values.to_numpy(), end.values.to_numpy()) if start.is_valid else (
-                    none, none)
-                removed, spans, kept = cut_ranges(body, *ranges)
+                removed, spans, kept = cut_ranges(body, *unpacked(ranges))
                 out.append((len(body), removed, spans, hashlib.sha256(kept).hexdigest(), kept))
             n, removed, spans, digest, kept = zip(*out) if out else ((),) * 5
             columns = [batch.column("doc_id"), pa.array(n, pa.int64()),
