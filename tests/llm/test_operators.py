@@ -54,6 +54,21 @@ def test_few_labels_certify_nothing(labelled):
     assert quality_rules.fit_thresholds(docs, labels.limit(30)).count() == 0
 
 
+def test_every_label_counts(spark):
+    """1,035 clean labels of 25,300 certify a cutoff of "es"; their share of 20,000 would not."""
+    i = F.col("id")
+    body = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(60)), lambda w: F.concat(
+        F.lit("word"), w.cast("string"))), " ")
+    table = spark.range(25_300).select(
+        i.alias("doc_id"), (i % 22 == 0).alias("es"), (i % 220 == 22).alias("junk"))
+    docs = table.select("doc_id", F.when(F.col("es"), "es").otherwise("en").alias("lang"), F.when(
+        F.col("junk"), F.regexp_replace(body, "word", "#####")).otherwise(body).alias("text"))
+    labels = table.select("doc_id", (~F.col("junk")).cast("int").alias("quality"))
+    found = {r["stratum"]: r["cutoffs"] for r in
+             quality_rules.fit_thresholds(docs, labels).collect()}
+    assert "symbol_share" in found["es"]
+
+
 def test_pairwise_scores_rank_the_holdout(labelled):
     docs, labels = labelled
     held = pairwise_quality.held_out(F.col("doc_id"))

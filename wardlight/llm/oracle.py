@@ -15,8 +15,7 @@ _CASES = " ".join(
 _N_RULES = len(quality_rules.RULES)
 _SHARE = quality_rules.MAX_FALSE_REJECTION / _N_RULES
 
-# The holdout is the whole labels table: it is below the sample's bound at the
-# sizes this statement is run on.
+# The holdout is the whole labels table.
 QUALITY_RULES = rf"""
 WITH w AS (
   SELECT doc_id, lang, coalesce(text, '') AS text, {WORDS} AS words FROM documents

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import smallest, stored, words
+from wardlight.llm.common import stored, words
 
 # Figure -> cutoffs from the loosest to the tightest; a text above one is rejected.
 RULES: dict[str, tuple[float, ...]] = {
@@ -37,8 +37,6 @@ MAX_REPEAT_PERCENT = 50
 # chance that this is not so in any stratum.
 MAX_FALSE_REJECTION = 0.02
 ERROR_LEVEL = 0.05
-# Labelled documents the cutoffs are fitted on: the first by hash of their id.
-MAX_LABELLED = 20_000
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -159,7 +157,6 @@ def fit_thresholds(
     rules: Mapping[str, Sequence[float]] = RULES,
     max_false_rejection: float = MAX_FALSE_REJECTION,
     error_level: float = ERROR_LEVEL,
-    max_labelled: int = MAX_LABELLED,
 ) -> DataFrame:
     """Certified cutoffs: one row per stratum with ``cutoffs``, a map of rule to cutoff.
 
@@ -167,16 +164,20 @@ def fit_thresholds(
     the cutoffs are a fixed sequence, which needs no correction; over rules and
     strata the error level is divided (Bonferroni). Of the certified cutoffs the
     loosest with the largest surplus of rejected junk over rejected clean
-    documents is taken. At most ``max_labelled`` labelled ids are read.
+    documents is taken. All labelled documents count.
     """
     known = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id").agg((F.min("quality") > 0).alias("clean"))
     )
-    labelled = smallest(known, F.xxhash64("doc_id"), max_labelled, known.count())
-    # At most max_labelled rows of two short columns.
-    held = docs.select("doc_id", "text", strata).join(F.broadcast(labelled), "doc_id")
-    figures = add_figures(text_counts(held)).where("NOT base_failed")
+    # Counted before the join, so that it moves figures and no texts.
+    counted = text_counts(docs.select("doc_id", "text", strata).where("doc_id IS NOT NULL"))
+    figures = (
+        add_figures(counted).where("NOT base_failed")
+        .select(F.col("row.doc_id").alias("doc_id"), F.col(f"row.{strata}").alias("stratum"),
+                *rules)
+        .join(known, "doc_id")
+    )
     tries = F.explode(F.array(*[
         F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step"),
                  F.lit(float(cut)).alias("cutoff"), (F.col(rule) > float(cut)).alias("out"))
@@ -184,8 +185,7 @@ def fit_thresholds(
     ]))
     clean = F.col("clean")
     cells = stored(
-        figures.select(F.col(f"row.{strata}").alias("stratum"),
-                       F.col("row.clean").alias("clean"), tries.alias("try"))
+        figures.select("stratum", "clean", tries.alias("try"))
         .groupBy("stratum", "try.rule", "try.step", "try.cutoff").agg(
             F.count(F.when(clean, 1)).alias("n"),
             F.count(F.when(clean & F.col("try.out"), 1)).alias("k"),
