@@ -166,3 +166,36 @@ def test_copies_lose_lines_but_one_stays_whole(make_docs):
     docs = make_docs([(i, text) for i in range(12)])
     assert [tuple(r) for r in line_dedup.drop_recurring(docs).select("doc_id", "text").collect()] == [
         (0, text)]
+
+
+def dropped_lines(docs):
+    return {r["doc_id"]: r["dropped"] for r in line_dedup.find_recurring(docs)
+            .select("row.doc_id", "dropped").collect()}
+
+
+FIELDS = {
+    "four tokens": "posted by user {a}",
+    "seven tokens": "posted by the user {a} on news",
+    "eight tokens": "this comment was posted by {a} last night",
+    "two fields": "the old board of news thanks {a} and all friends of {b} very much",
+    "across a border": "one two three four five {a} {b} eight nine ten eleven twelve",
+}
+
+
+@pytest.mark.parametrize("name", FIELDS)
+def test_variable_fields(make_docs, name):
+    """The lines of 12 documents differ in their fields only; 9 such lines are too few."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=9))
+    for n, want in ((12, [0]), (9, [])):
+        got = dropped_lines(make_docs([
+            (i, FIELDS[name].format(a=word(), b=word()) + "\n" + word()) for i in range(n)]))
+        assert got[0] == [] and all(got[i] == want for i in range(1, n))
+
+
+def test_a_common_field_value_shares_the_template(make_docs):
+    """Lines with a rare value go, though one value alone makes up most of the lines."""
+    rows = [(i, f"posted by the user {'john' if i < 30 else 'x' + chr(97 + i - 30)} on news")
+            for i in range(34)]
+    got = dropped_lines(make_docs(rows))
+    assert got[0] == [] and all(got[i] == [0] for i in range(1, 34))

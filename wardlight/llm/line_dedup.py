@@ -2,15 +2,17 @@
 
 A line walks down the tree by its number of tokens and its leading tokens; tokens
 with digits are variable and count as one wildcard. In a leaf its templates are the
-line itself and, for lines of ``MIN_FIELD_TOKENS`` and more, the line with one run
-of the tokens after the leading ones left open: lines that differ in a variable
-field inside that run share the template. A template found in ``min_docs``
-documents or more recurs. Its lines are dropped, but for those of its first document
-(smallest id), so that no content is lost altogether.
+line itself and the line with some of the tokens after the leading ones left open:
+lines that differ in those fields share the template. Which tokens are open follows
+from the leaf: for each number of documents that a token of the line has at its
+place, the template keeps the tokens that have as many, and opens the rarer ones, up
+to a ``MAX_OPEN``-th of the line. Lines of ``MIN_FIELD_TOKENS`` and more also get
+templates with one run of tokens open. A template found in ``min_docs`` documents or
+more recurs. Its lines are dropped, but for those of its first document (smallest id),
+so that no content is lost altogether.
 
 The levels prune each other: only lines of leaves with ``min_docs`` lines at least
-are expanded into templates. Only hashes travel, and all steps are built-in
-functions.
+are expanded. Only hashes travel, and all steps are built-in functions.
 
 Defined cases: a NULL text has no lines and stays NULL; lines without tokens stay
 and are no templates; the NULL id is last in the order; rows with equal id and text
@@ -29,6 +31,7 @@ MIN_DOCS = 10
 LEADING = 3
 RUNS = 3
 MIN_FIELD_TOKENS = 9
+MAX_OPEN = 3
 WILDCARD = "<*>"
 
 
@@ -43,7 +46,7 @@ def _open_run(hashes: str, run: int) -> Column:
 
 
 def templates(docs: DataFrame) -> DataFrame:
-    """One row per line with tokens: doc_id, tag, line, leaf and the keys of its templates."""
+    """One row per line with tokens: doc_id, tag, line, n, leaf and hashes."""
     token = r"(?<![^ \t-\r])[^ \t-\r0-9]*+[0-9][^ \t-\r]*+"
     masked = F.regexp_replace("body", token, WILDCARD)
     return (
@@ -54,14 +57,45 @@ def templates(docs: DataFrame) -> DataFrame:
                 F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"))
         .select(
             "doc_id", "tag", "line", F.size("hashes").alias("n"),
-            F.xxhash64(F.size("hashes"), F.slice("hashes", 1, LEADING)).alias("leaf"),
-            F.when(F.size("hashes") >= MIN_FIELD_TOKENS, F.array(
-                F.xxhash64("hashes"), *[_open_run("hashes", r) for r in range(RUNS)]
-            )).otherwise(F.array(F.xxhash64("hashes"))).alias("keys"),
+            F.xxhash64(F.size("hashes"), F.slice("hashes", 1, LEADING)).alias("leaf"), "hashes",
         )
     )
 
 
+def _field_keys(lines: DataFrame, min_docs: int) -> DataFrame:
+    """doc_id, tag, line and the key of each template with fields that the leaf suggests."""
+    who = ("doc_id", "tag", "line")
+    places = lines.where(F.col("n") > LEADING).select(
+        *who, "n", "leaf",
+        F.posexplode(F.slice("hashes", F.lit(LEADING + 1), F.col("n"))).alias("pos", "token"),
+    ).select(*who, "n", "leaf", "pos", "token", F.xxhash64("leaf", "pos", "token").alias("place"))
+    # Stored, so that the join reads plain shuffles and a hot place can be split.
+    common = stored(
+        places.groupBy("place", "doc_id", "tag").agg(F.lit(1).alias("one"))
+        .groupBy("place").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs),
+        "common-tokens",
+    )
+    # A token that is not common has 0 documents; the leading ones are never open.
+    counted = (
+        places.join(common, "place", "left")
+        .groupBy(*who, "n", "leaf")
+        .agg(F.sort_array(F.collect_list(F.struct(
+            "pos", "token", F.coalesce("docs", F.lit(0).cast("long")).alias("docs"))))
+            .alias("tokens"))
+    )
+    every = F.lit((1 << 63) - 1).cast("long")
+    least = F.array_union(F.array(every), F.filter(
+        F.transform("tokens", lambda t: t["docs"]), lambda c: c > 0))
+    opened = F.size(F.filter("tokens", lambda t: t["docs"] < F.col("least")))
+    return (
+        counted.select(*who, "n", "leaf", "tokens", F.explode(least).alias("least"))
+        .where((opened > 0) & (opened * MAX_OPEN <= F.col("n")))
+        .select(*who, F.xxhash64(F.lit("fields"), "leaf", F.transform(
+            "tokens", lambda t: F.when(t["docs"] >= F.col("least"), t["token"])
+            .otherwise(F.xxhash64(F.lit(WILDCARD))))).alias("key"))
+    )
+
+
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, tag and the sorted numbers of the lines to drop; only rows with such lines."""
     lines = stored(templates(docs), "line-templates").where("n > 0")
@@ -71,8 +105,13 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         .where(F.col("found") >= min_docs).select("leaf"),
         "busy-leaves",
     )
+    held = stored(lines.join(busy, "leaf"), "busy-lines")
+    whole = F.array(F.xxhash64("hashes"))
+    keys = F.when(F.col("n") >= MIN_FIELD_TOKENS, F.concat(
+        whole, F.array(*[_open_run("hashes", r) for r in range(RUNS)]))).otherwise(whole)
     placed = stored(
-        lines.join(busy, "leaf").select("doc_id", "tag", "line", F.explode("keys").alias("key")),
+        held.select("doc_id", "tag", "line", F.explode(keys).alias("key"))
+        .unionByName(_field_keys(held, min_docs)),
         "line-keys",
     )
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
