@@ -173,6 +173,23 @@ def dropped_lines(docs):
             .select("row.doc_id", "dropped").collect()}
 
 
+def test_long_lines_recur_word_for_word(make_docs):
+    """Long lines in 2, 3 and 9 documents go, with and without digits; short ones stay."""
+    rows = []
+    for copies in (2, 3, 9):
+        long_line = " ".join(f"{w}{'abc'[copies % 3]}{'x' * copies}" for w in "abcdefghijkl")
+        dated = " ".join(f"{w}y{'x' * copies}" for w in "abcdefghijk") + f" 20{copies}"
+        for k in range(copies):
+            rows.append((100 * copies + k, "\n".join([
+                f"own{chr(97 + k)}{'z' * copies}", long_line, "short line " + "x" * copies, dated])))
+    other = " ".join(f"{w}yxx" for w in "abcdefghijk") + " 77"
+    got = dropped_lines(make_docs([*rows, (7, other)]))
+    for copies in (2, 3, 9):
+        assert got[100 * copies] == []
+        assert all(got[100 * copies + k] == [1, 3] for k in range(1, copies))
+    assert got[7] == []
+
+
 FIELDS = {
     "four tokens": "posted by user {a}",
     "seven tokens": "posted by the user {a} on news",
@@ -197,5 +214,5 @@ def test_a_common_field_value_shares_the_template(make_docs):
     """Lines with a rare value go, though one value alone makes up most of the lines."""
     rows = [(i, f"posted by the user {'john' if i < 30 else 'x' + chr(97 + i - 30)} on news")
             for i in range(34)]
-    got = dropped_lines(make_docs(rows))
+    got = dropped_lines(make_docs([*rows, rows[33]]))  # equal rows are one document
     assert got[0] == [] and all(got[i] == [0] for i in range(1, 34))

@@ -8,11 +8,12 @@ from the leaf: for each number of documents that a token of the line has at its
 place, the template keeps the tokens that have as many, and opens the rarer ones, up
 to a ``MAX_OPEN``-th of the line. Lines of ``MIN_FIELD_TOKENS`` and more also get
 templates with one run of tokens open. A template found in ``min_docs`` documents or
-more recurs. Its lines are dropped, but for those of its first document (smallest id),
-so that no content is lost altogether.
+more recurs, and so does a line of ``LONG_LINE`` tokens and more that stands word for
+word in ``LONG_MIN_DOCS`` documents. Its lines are dropped, but for those of its first
+document (smallest id), so that no content is lost altogether.
 
-The levels prune each other: only lines of leaves with ``min_docs`` lines at least
-are expanded. Only hashes travel, and all steps are built-in functions.
+The levels prune each other: only lines of leaves with as many lines as a template of
+theirs needs are expanded. Only hashes travel, and all steps are built-in functions.
 
 Defined cases: a NULL text has no lines and stays NULL; lines without tokens stay
 and are no templates; the NULL id is last in the order; rows with equal id and text
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from wardlight.llm.common import row_tag, stored, words
 
 MIN_DOCS = 10
+LONG_LINE = 10
+LONG_MIN_DOCS = 2
 LEADING = 3
 RUNS = 3
 MIN_FIELD_TOKENS = 9
@@ -45,27 +48,71 @@ def _open_run(hashes: str, run: int) -> Column:
     )
 
 
+TOKEN = r"(?<![^ \t-\r])[^ \t-\r0-9]*+[0-9][^ \t-\r]*+"
+
+
+def _hashed(body: str) -> tuple[Column, Column]:
+    """The line with its variable tokens masked, and the hashes of its tokens."""
+    masked = F.regexp_replace(body, TOKEN, WILDCARD)
+    return masked, F.transform(words(F.col("masked")), lambda t: F.xxhash64(t))
+
+
+def _leaf() -> Column:
+    return F.xxhash64(F.size("hashes"), F.slice("hashes", 1, LEADING))
+
+
 def templates(docs: DataFrame) -> DataFrame:
-    """One row per line with tokens: doc_id, tag, line, n, leaf and hashes."""
-    token = r"(?<![^ \t-\r])[^ \t-\r0-9]*+[0-9][^ \t-\r]*+"
-    masked = F.regexp_replace("body", token, WILDCARD)
+    """One row per line with tokens: doc_id, tag, line, n, leaf, keys and the exact key.
+
+    ``exact`` is NULL for short lines.
+    """
+    masked, hashes = _hashed("body")
+    whole = F.xxhash64("hashes")
     return (
         docs.select("doc_id", row_tag().alias("tag"),
                     F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
-        .select("doc_id", "tag", "line", words(masked).alias("tokens"))
-        .select("doc_id", "tag", "line",
-                F.transform("tokens", lambda t: F.xxhash64(t)).alias("hashes"))
+        .select("doc_id", "tag", "line", "body", masked.alias("masked"))
+        .select("doc_id", "tag", "line", "body", "masked", hashes.alias("hashes"))
         .select(
-            "doc_id", "tag", "line", F.size("hashes").alias("n"),
-            F.xxhash64(F.size("hashes"), F.slice("hashes", 1, LEADING)).alias("leaf"), "hashes",
+            "doc_id", "tag", "line", F.size("hashes").alias("n"), _leaf().alias("leaf"),
+            F.when(F.size("hashes") >= MIN_FIELD_TOKENS, F.array(
+                whole, *[_open_run("hashes", r) for r in range(RUNS)]
+            )).otherwise(F.array(whole)).alias("keys"),
+            # Without a variable token the masked line is the line.
+            F.when(F.size("hashes") >= LONG_LINE, F.when(
+                F.col("masked") == F.col("body"), F.xxhash64(F.lit("exact"), "hashes")
+            ).otherwise(F.xxhash64(F.lit("exact"), F.transform(
+                words(F.col("body")), lambda t: F.xxhash64(t))))).alias("exact"),
         )
     )
 
 
+def _lines_of(docs: DataFrame, held: DataFrame) -> DataFrame:
+    """The held lines with their leaf and token hashes, made from the texts again.
+
+    Only these lines are split into tokens, and no token of another line travels.
+    """
+    wanted = held.groupBy("doc_id", "tag").agg(F.collect_set("line").alias("lines")).select(
+        F.col("doc_id").alias("in_doc"), F.col("tag").alias("in_row"), "lines")
+    rows = docs.select("doc_id", "text", row_tag().alias("tag")).join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.col("tag") == F.col("in_row")))
+    masked, hashes = _hashed("body")
+    return (
+        rows.select("doc_id", "tag", "lines", F.split("text", "\n", -1).alias("bodies"))
+        .select("doc_id", "tag", F.explode(F.transform("lines", lambda i: F.struct(
+            i.alias("line"), F.get("bodies", i).alias("body")))).alias("x"))
+        .select("doc_id", "tag", "x.line", "x.body")
+        .select("doc_id", "tag", "line", masked.alias("masked"))
+        .select("doc_id", "tag", "line", hashes.alias("hashes"))
+        .select("doc_id", "tag", "line", "hashes", F.size("hashes").alias("n"),
+                _leaf().alias("leaf"))
+    )
+
+
 def _field_keys(lines: DataFrame, min_docs: int) -> DataFrame:
     """doc_id, tag, line and the key of each template with fields that the leaf suggests."""
     who = ("doc_id", "tag", "line")
-    places = lines.where(F.col("n") > LEADING).select(
+    places = lines.select(
         *who, "n", "leaf",
         F.posexplode(F.slice("hashes", F.lit(LEADING + 1), F.col("n"))).alias("pos", "token"),
     ).select(*who, "n", "leaf", "pos", "token", F.xxhash64("leaf", "pos", "token").alias("place"))
@@ -79,7 +126,8 @@ def _field_keys(lines: DataFrame, min_docs: int) -> DataFrame:
     counted = (
         places.join(common, "place", "left")
         .groupBy(*who, "n", "leaf")
-        .agg(F.sort_array(F.collect_list(F.struct(
+        # A set, for equal rows are one document.
+        .agg(F.sort_array(F.collect_set(F.struct(
             "pos", "token", F.coalesce("docs", F.lit(0).cast("long")).alias("docs"))))
             .alias("tokens"))
     )
@@ -98,27 +146,31 @@ def _field_keys(lines: DataFrame, min_docs: int) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """doc_id, tag and the sorted numbers of the lines to drop; only rows with such lines."""
+    few = min(min_docs, LONG_MIN_DOCS)
     lines = stored(templates(docs), "line-templates").where("n > 0")
     # Stored, so that the joins read plain shuffles and a hot key can be split.
     busy = stored(
-        lines.groupBy("leaf").agg(F.count("*").alias("found"))
-        .where(F.col("found") >= min_docs).select("leaf"),
+        lines.groupBy("leaf", "n").agg(F.count("*").alias("found"))
+        .where(F.col("found") >= F.when(F.col("n") >= LONG_LINE, few).otherwise(min_docs))
+        .select("leaf", (F.col("found") >= min_docs).alias("full")),
         "busy-leaves",
     )
     held = stored(lines.join(busy, "leaf"), "busy-lines")
-    whole = F.array(F.xxhash64("hashes"))
-    keys = F.when(F.col("n") >= MIN_FIELD_TOKENS, F.concat(
-        whole, F.array(*[_open_run("hashes", r) for r in range(RUNS)]))).otherwise(whole)
+    full = held.where("full")
+    fielded = stored(_lines_of(docs, full.where(F.col("n") > LEADING)), "field-lines")
+    key = lambda df, column, needed: df.select(
+        "doc_id", "tag", "line", column.alias("key"), F.lit(needed).alias("needed"))
     placed = stored(
-        held.select("doc_id", "tag", "line", F.explode(keys).alias("key"))
-        .unionByName(_field_keys(held, min_docs)),
+        key(held.where("exact IS NOT NULL"), F.col("exact"), few)
+        .unionByName(key(full, F.explode("keys"), min_docs))
+        .unionByName(key(_field_keys(fielded, min_docs), F.col("key"), min_docs)),
         "line-keys",
     )
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
     spread = stored(
-        placed.groupBy("key", "doc_id", "tag").agg(F.lit(1).alias("one"))
-        .groupBy("key").agg(F.count("*").alias("docs"), F.min(order).alias("first"))
-        .where(F.col("docs") >= min_docs).select("key", "first"),
+        placed.groupBy("key", "needed", "doc_id", "tag").agg(F.lit(1).alias("one"))
+        .groupBy("key", "needed").agg(F.count("*").alias("docs"), F.min(order).alias("first"))
+        .where(F.col("docs") >= F.col("needed")).select("key", "first"),
         "recurring-keys",
     )
     return (
