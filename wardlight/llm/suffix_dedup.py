@@ -4,15 +4,17 @@ A rolling hash of ``GRAM`` bytes picks the triggers: each string of ``SIZE`` byt
 led by the position of the least hash among its first ``REACH``. This depends on the
 string alone, so equal strings have their trigger at the same place. The starts that
 share a trigger form a phrase; its text runs to the end of its last string, so it
-holds as much of the following phrases as its strings reach. The suffix order of the
-corpus is needed to a depth of ``SIZE`` only, and comes from two parts:
+holds as much of the following phrases as its strings reach. Strings are compared to
+a depth of ``SIZE`` only, so equality is all that is asked: no suffix array of the
+dictionary or of the parse is built and no suffix is ordered. Grouping phrases and
+strings by 128-bit hashes replaces them, in two parts:
 
 - Dictionary: equal phrase texts are one entry, known by its first occurrence in the
   corpus (smallest doc_id, then start). All strings of any later occurrence are
   repeats; this settles highly repetitive text without looking at its strings.
 - Entries that agree in the ``CORE`` bytes from their trigger on, but not as a whole,
-  may share some of their strings. Only their suffixes are sorted one by one, each
-  with its earliest place in the corpus.
+  may share some of their strings. Only their strings are grouped one by one, each
+  group with its earliest place in the corpus.
 
 Cores that occur once cannot hold a repeat. A count-min sketch of the cores leaves
 them out before anything is shuffled; equal phrases of one batch are settled there.
