@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from wardlight.session import scratch_path
 
 
+def quoted(name: str) -> Column:
+    """A column by its name, whatever characters that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
 import corpus_pipeline
 from wardlight.llm import (
-    decontaminate, licences, line_dedup, mixing, near_dedup, oracle, pairwise_quality,
+    byte_pairs, decontaminate, licences, line_dedup, mixing, near_dedup, oracle, pairwise_quality,
     quality_rules, substring_dedup, suffix_dedup, url_filter,
 )
 from wardlight.llm.common import read_table
@@ -84,6 +86,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = byte_pairs.load(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = byte_pairs.encode(read_table(spark, sf_dir, "documents"), vocabulary)
+    return byte_pairs.decode(encoded, vocabulary).select(
+        "row.doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -95,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_line_dedup": op9_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_byte_pairs": op11_byte_pairs,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
