@@ -214,3 +214,50 @@ SELECT doc_id, (len(body) // 2)::BIGINT AS n_bytes,
   coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, body))) AS kept_sha256
 FROM d LEFT JOIN cut USING (doc_id)
 """
+
+# Repetitions are stretches of places whose word stands again a period later.
+WORD_RUNS = rf"""
+WITH w AS (SELECT row_number() OVER () AS row, doc_id, {WORDS} AS words FROM documents),
+sums AS (
+  -- crc32 of the id's digits, bit by bit
+  SELECT *, len(words) AS n, coalesce(xor(list_reduce(list_concat([4294967295::BIGINT], flatten(
+      list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_concat(
+        [ascii(c)::BIGINT], list_transform(range(8), lambda i: -1::BIGINT))))),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1
+      THEN xor(c // 2, 3988292384::BIGINT) ELSE c // 2 END), 4294967295::BIGINT), 1) AS h FROM w
+), dealt AS (
+  SELECT row, doc_id, words, h % 10 = 0 AND n > 0 AS loops, (h // 10) % greatest(n, 1) AS a,
+    1 + (n - (h // 10) % greatest(n, 1)) // (3 + (h // 10) % 8) AS p FROM sums
+), places AS (
+  SELECT row, len(words) AS n, i, words[1 + CASE WHEN loops AND i >= a THEN a + (i - a) % p
+    ELSE i END] AS word
+  FROM (SELECT *, unnest(range(len(words))) AS i FROM dealt)
+), again AS (
+  SELECT x.row, x.i, y.i - x.i AS q FROM places x JOIN places y
+  ON x.row = y.row AND x.word = y.word AND y.i > x.i AND y.i - x.i <= x.n // 4
+), stretches AS (
+  SELECT row, q, min(i) AS start, count(*) + q AS length FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY row, q ORDER BY i) AS stretch FROM again
+  ) GROUP BY row, q, stretch HAVING count(*) + q >= greatest(6, 4 * q)
+), runs AS (
+  SELECT row, start, length, min(q) AS period FROM stretches GROUP BY ALL
+), figures AS (
+  SELECT row, count(*) AS n_runs,
+    list(struct_pack(start, length, period) ORDER BY start, period) AS all_runs,
+    string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period)
+      AS lines FROM runs GROUP BY row
+), tops AS (
+  SELECT runs.* FROM runs JOIN (SELECT row, max(length / period) AS most FROM runs GROUP BY row)
+  USING (row) WHERE length / period = most
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY start, period) = 1
+), gone AS (
+  SELECT DISTINCT row, unnest(range(start + period, start + length)) AS i FROM runs
+), kept AS (
+  SELECT row, string_agg(word, ' ' ORDER BY i) AS text
+  FROM places ANTI JOIN gone USING (row, i) GROUP BY row
+)
+SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start, length::BIGINT AS length, period,
+  (1000 * length // period)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+  sha256(coalesce(text, '')) AS collapsed_sha256
+FROM w LEFT JOIN figures USING (row) LEFT JOIN tops USING (row) LEFT JOIN kept USING (row)
+"""

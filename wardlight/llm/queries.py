@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
@@ -13,8 +13,9 @@ import corpus_pipeline
 from wardlight.llm import (
     byte_pairs, decontaminate, licences, line_dedup, mixing, near_dedup, oracle, pairwise_quality,
     quality_rules, substring_dedup, suffix_dedup, url_filter,
+    word_runs,
 )
-from wardlight.llm.common import read_table
+from wardlight.llm.common import read_table, words
 
 
 # The rules of the URL query: verdict, host, path.
@@ -97,6 +98,40 @@ def op11_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def looped(text: Column, doc_id: Column) -> Column:
+    """The text of op12: where the id's checksum ends in 0, from some word on a loop."""
+    check = F.crc32(doc_id.cast("string"))
+    deal = F.floor(check / 10)
+
+    def loop(found: Column) -> Column:
+        n = F.greatest(F.size(found), F.lit(1))
+        start = (deal % n).cast("int")
+        period = (1 + F.floor((n - start) / (3 + deal % 8))).cast("int")
+        return F.transform(found, lambda word, i: F.when(
+            i >= start, F.get(found, start + (i - start) % period)).otherwise(word))
+
+    # The one-element array binds the words to a name, so that they are split once.
+    made = F.transform(F.array(words(text)), lambda found: F.array_join(loop(found), " "))
+    return F.when(check % 10 == 0, F.get(made, F.lit(0))).otherwise(text)
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", looped(F.col("text"), F.col("doc_id")).alias("text"))
+    best = F.aggregate(
+        "runs", F.get("runs", F.lit(0)), lambda top, run: F.when(
+            run["length"] * top["period"] > top["length"] * run["period"], run).otherwise(top))
+    lines = F.transform("runs", lambda run: F.concat_ws(
+        ",", run["start"], run["length"], F.concat(run["period"], F.lit("\n"))))
+    return word_runs.find_runs(docs).withColumn("best", best).select(
+        "row.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -109,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_byte_pairs": op11_byte_pairs,
+    "op12_word_runs": op12_word_runs,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -118,4 +154,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_url_filter": oracle.URL_FILTER,
     "op8_quality_rules": oracle.QUALITY_RULES,
     "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op12_word_runs": oracle.WORD_RUNS,
 }
