@@ -65,28 +65,73 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder."""
-    return f"{shared_dir(spark)}/wardlight/{name}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    return f"{shared_dir(spark)}/wardlight/{app}/{name}-{uuid.uuid4().hex}"
+
+
+def _write(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+class Scratch:
+    """Stored tables with one owner, who removes them when their last reader is done.
+
+    ``with Scratch(spark, "tuning") as scratch`` removes all at the end; ``drop`` removes
+    some earlier. A table that is returned to a caller must be stored elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark = spark
+        self.folder = scratch_path(spark, name)
+        self._paths: list[tuple[DataFrame, str]] = []
+
+    def path(self, name: str) -> str:
+        """A new path in the folder."""
+        return f"{self.folder}/{name}-{uuid.uuid4().hex}"
+
+    def store(self, df: DataFrame, name: str = "table") -> DataFrame:
+        """Write a table as Parquet and read it back; cuts the lineage."""
+        path = self.path(name)
+        table = _write(df, path)
+        self._paths.append((table, path))
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove tables of ``store`` that nothing reads any more."""
+        for table in tables:
+            for held in [x for x in self._paths if x[0] is table]:
+                _delete(self.spark, held[1])
+                self._paths.remove(held)
+
+    def close(self) -> None:
+        _delete(self.spark, self.folder)
+        self._paths.clear()
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the table to the shared folder as Parquet and read it.
 
-    Readers prune columns, push filters and know the size; ``discard`` removes it.
+    Readers prune columns, push filters and know the size. It stays until
+    ``clear_scratch``; tables that can go earlier belong to a ``Scratch``.
     """
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write(df, scratch_path(df.sparkSession, "table"))
 
 
-def discard(*tables: DataFrame) -> None:
-    """Remove stored tables that nothing reads any more (only those of ``materialize``)."""
-    for table in tables:
-        jvm = table.sparkSession._jvm
-        settings = table.sparkSession._jsc.hadoopConfiguration()
-        for name in table.inputFiles()[:1]:
-            folder = jvm.org.apache.hadoop.fs.Path(name).getParent()
-            if folder.getName().startswith("table-"):
-                folder.getFileSystem(settings).delete(folder, True)
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application stored; for the end of a job."""
+    _delete(spark, f"{shared_dir(spark)}/wardlight/{spark.sparkContext.applicationId}")
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame:
