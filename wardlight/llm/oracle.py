@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from wardlight.llm import mixing, quality_rules
+from wardlight.llm import centroids, mixing, quality_rules
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -261,3 +261,38 @@ SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start, length::BIGINT AS l
   sha256(coalesce(text, '')) AS collapsed_sha256
 FROM w LEFT JOIN figures USING (row) LEFT JOIN tops USING (row) LEFT JOIN kept USING (row)
 """
+
+_ROUND = """a{r} AS MATERIALIZED (
+  SELECT row, vec_id, v, struct_extract(best, 'c') AS c, struct_extract(best, 'd') AS d FROM (
+    SELECT row, vec_id, v, arg_min(struct_pack(c := n, d := far), far * 100 + n) AS best FROM (
+      SELECT row, vec_id, v, n, list_sum(list_transform(range(1, 65),
+        lambda i: (v[i] - m[i]) * (v[i] - m[i])))::BIGINT AS far
+      FROM kept CROSS JOIN c{r}
+    ) GROUP BY ALL)
+)"""
+# The floor of a quotient, for // rounds towards zero.
+_MOVE = """c{s} AS MATERIALIZED (
+  SELECT n, coalesce(moved, m) AS m FROM c{r} LEFT JOIN (
+    SELECT c AS n, list((total - ((total % size) + size) % size) // size ORDER BY i) AS moved
+    FROM (SELECT c, i, sum(v[i])::BIGINT AS total, count(*) AS size
+          FROM (SELECT *, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY c, i) GROUP BY c
+  ) USING (n)
+)"""
+
+CENTROIDS = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: floor({centroids.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS n,
+    v AS m FROM kept QUALIFY n < {centroids.CENTROIDS}
+), {", ".join(_ROUND.format(r=r) + ", " + _MOVE.format(r=r, s=r + 1)
+             for r in range(centroids.ROUNDS))},
+{_ROUND.format(r=centroids.ROUNDS)}
+SELECT vec_id, c::INTEGER AS cluster, d AS distance,
+  (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia, (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(m, lambda x: x::VARCHAR), ',')) AS centroid_sha256
+FROM a{centroids.ROUNDS} JOIN c{centroids.ROUNDS} ON n = c
+"""

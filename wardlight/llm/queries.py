@@ -11,7 +11,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from wardlight.llm import (
-    byte_pairs, decontaminate, licences, line_dedup, mixing, near_dedup, oracle, pairwise_quality,
+    byte_pairs, centroids, decontaminate, licences, line_dedup, mixing, near_dedup, oracle, pairwise_quality,
     quality_rules, substring_dedup, suffix_dedup, url_filter,
     word_runs,
 )
@@ -132,6 +132,11 @@ def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings")).select(
+        "row.vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licence_scan": op1_licence_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -145,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_byte_pairs": op11_byte_pairs,
     "op12_word_runs": op12_word_runs,
+    "op13_centroids": op13_centroids,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -155,4 +161,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_quality_rules": oracle.QUALITY_RULES,
     "op10_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op12_word_runs": oracle.WORD_RUNS,
+    "op13_centroids": oracle.CENTROIDS,
 }
