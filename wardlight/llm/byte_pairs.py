@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import islice
 
 import numpy as np
@@ -39,7 +41,7 @@ MAX_VOCABULARY_BYTES = 64_000_000
 # Characters whose pre-tokens a task holds at once.
 PIECE = 2_000_000
 # Misses whose ids a task remembers; the memory starts anew when it is full.
-MEMORY = 1 << 17
+MEMORY = 1 << 19
 
 # Letters and digits younger than Unicode 16, the version that the public
 # encoder of these vocabularies splits by. They count as neither letter nor digit.
@@ -64,6 +66,15 @@ class Vocabulary:
     ranks: bytes
     pattern: str
 
+    # A worker keeps what it builds as long as the broadcast vocabulary, for all its tasks.
+    @cached_property
+    def encoder(self) -> Encoder:
+        return Encoder(self)
+
+    @cached_property
+    def decoder(self) -> Decoder:
+        return Decoder(self)
+
 
 def load(path: str, pattern: str) -> Vocabulary:
     """Read a rank file on the driver."""
@@ -143,32 +154,42 @@ class PerfectHash:
         return found
 
 
-def merge(token: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
-    """The ids of one pre-token, merged pair by pair from its bytes."""
+def pair_ranks(ranks: dict[bytes, int]) -> list[int]:
+    """The rank of each pair of bytes, -1 for none."""
+    return [ranks.get(bytes([a, b]), -1) for a in range(256) for b in range(256)]
+
+
+def merge(token: bytes, ranks: dict[bytes, int], pairs: list[int]) -> list[int]:
+    """The ids of one pre-token, merged pair by pair from its bytes.
+
+    Parts are known by their first byte and linked both ways. ``pair_at`` has the rank of
+    a part and the next one together; a heap entry (rank and part in one number) that
+    differs from it is out of date.
+    """
     n = len(token)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # after[i]: end of part i
-    heap: list[tuple[int, int, int]] = []
-
-    def offer(i: int) -> None:
-        j = after[i]
-        if j < n and after[j] - i <= longest:
-            rank = ranks.get(token[i:after[j]])
-            if rank is not None:
-                heapq.heappush(heap, (rank, i, after[j]))
-
-    for i in range(n - 1):
-        offer(i)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    pair_at = [pairs[a * 256 + b] for a, b in zip(token, token[1:])]
+    pair_at.append(-1)
+    heap = [rank * n + i for i, rank in enumerate(pair_at) if rank >= 0]
+    heapq.heapify(heap)
+    known = ranks.get
     while heap:
-        _, i, end = heapq.heappop(heap)
-        j = after[i]
-        if j == 0 or j >= n or after[j] != end:  # the pair has changed meanwhile
+        rank, i = divmod(heapq.heappop(heap), n)
+        if pair_at[i] != rank:
             continue
-        after[i], after[j] = end, 0  # 0: part j is gone
+        joined = after[i]
+        end = after[i] = after[joined]
+        pair_at[i] = pair_at[joined] = -1
         if end < n:
             before[end] = i
-            offer(i)
-        if before[i] >= 0:
-            offer(before[i])
+            rank = pair_at[i] = known(token[i:after[end]], -1)
+            if rank >= 0:
+                heapq.heappush(heap, rank * n + i)
+        h = before[i]
+        if h >= 0:
+            rank = pair_at[h] = known(token[h:end], -1)
+            if rank >= 0:
+                heapq.heappush(heap, rank * n + h)
     ids, i = [], 0
     while i < n:
         ids.append(ranks[token[i:after[i]]])
@@ -183,6 +204,7 @@ class Encoder:
         import regex
 
         self.ranks = parse_ranks(vocabulary.ranks)
+        self.pairs = pair_ranks(self.ranks)
         keys = pa.array(list(self.ranks), pa.large_binary())
         self.longest = max(map(len, self.ranks))
         self.perfect = PerfectHash(keys)
@@ -195,7 +217,7 @@ class Encoder:
             "-".join(f"\\U{int(x, 16):08X}" for x in part.split("-")) for part in LATE.split())
         self.late = regex.compile(f"[{late}]")
         self.stand_in = "\ue000"  # of private use, so neither letter, digit nor blank
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def pre_tokens(self, text: str) -> Iterator[list[str]]:
         """The pre-tokens of a text, in lists of bounded length."""
@@ -211,10 +233,11 @@ class Encoder:
         while part := [text[m.start():m.end()] for m in islice(found, PIECE // 4)]:
             yield part
 
-    def _miss(self, token: bytes) -> list[int]:
+    def _miss(self, token: bytes) -> bytes:
+        """The ids of a pre-token outside the vocabulary, four bytes each."""
         ids = self.known.get(token)
         if ids is None:
-            ids = merge(token, self.ranks, self.longest)
+            ids = array("i", merge(token, self.ranks, self.pairs)).tobytes()
             if len(token) <= 64:
                 if len(self.known) >= MEMORY:
                     self.known.clear()
@@ -238,12 +261,12 @@ class Encoder:
         whole[short[right]] = True
         missed = np.flatnonzero(~whole)
         merged = [self._miss(t) for t in distinct.take(pa.array(missed)).to_pylist()]
-        counts[missed] = [len(ids) for ids in merged]
+        counts[missed] = [len(ids) // 4 for ids in merged]
         starts = np.cumsum(counts) - counts
         pool = np.repeat(single, counts)
         if merged:
             places = np.repeat(starts[missed], counts[missed]) + _within(counts[missed])
-            pool[places] = np.concatenate([np.array(ids, np.int32) for ids in merged])
+            pool[places] = np.frombuffer(b"".join(merged), np.int32)
         of_token = counts[codes]
         return of_token, pool[np.repeat(starts[codes], of_token) + _within(of_token)]
 
@@ -321,7 +344,7 @@ def encode(
                        quoted(text).cast("string").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = sent.value.encoder
         for whole in batches:
             lengths = pc.fill_null(pc.binary_length(whole.column("text")), 0).to_numpy()
             for batch in _rows_of(whole, lengths):
@@ -337,7 +360,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     sent = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = Decoder(sent.value)
+        decoder = sent.value.decoder
         for whole in batches:
             lengths = pc.fill_null(pc.list_value_length(whole.column("ids")), 0).to_numpy()
             for batch in _rows_of(whole, lengths):
