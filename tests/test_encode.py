@@ -92,10 +92,57 @@ def test_no_rare_category_no_pooled_column(spark, coloured):
     assert len(vector(model, spark, "red")) == 5 and sum(vector(model, spark, "new")) == 0
 
 
-def test_too_many_categories_raise(spark, coloured, monkeypatch):
-    monkeypatch.setattr(encode, "MAX_CATEGORIES", 3)
-    with pytest.raises(ValueError, match="categories"):
-        encode.Preprocessor(categoricalCols=["c"]).fit(coloured)
+def test_too_wide_a_vector_raises(spark, coloured, monkeypatch):
+    monkeypatch.setattr(encode, "MAX_COMMON", 2)
+    for unseen in ("zeros", "infrequent"):
+        with pytest.raises(ValueError, match="entries"):
+            encode.Preprocessor(
+                categoricalCols=["c"], unseen=unseen, inlineCategories=0).fit(coloured)
+
+
+def test_stored_rare_categories(spark, coloured, tmp_path):
+    """The same vectors whether rare values are in the model or in its table."""
+    fitted = encode.Preprocessor(categoricalCols=["c"], inlineCategories=0).fit(coloured)
+    fitted.write().save(str(tmp_path / "pre"))
+    asked = spark.createDataFrame(
+        [(v,) for v in ("red", "teal", "pink", None, "new", "Unknown", "rare__key", "")], "c string")
+    plain = encode.Preprocessor(categoricalCols=["c"]).fit(coloured).transform(asked)
+    want = sorted((str(r["c"]), r["features"].toArray().tolist()) for r in plain.collect())
+    for model in (fitted, PipelineModel.load(str(tmp_path / "pre"))):
+        got = model.transform(asked)
+        assert got.columns == plain.columns
+        assert encode.feature_names(got) == encode.feature_names(plain)
+        assert sorted((str(r["c"]), r["features"].toArray().tolist()) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_many_rare_categories(spark, tmp_path, broadcast):
+    """300,000 rare values in one column, a name with a dash, and a column without rare ones."""
+    rows = spark.range(320_000)
+    table = rows.select(
+        F.when(F.col("id") < 300_000, F.concat(F.lit("v"), "id")).otherwise("often").alias("a-b"),
+        (F.col("id") % 3).cast("string").alias("d"), (F.col("id") % 7).alias("n"),
+    )
+    fitted = encode.Preprocessor(numericCols=["n"], categoricalCols=["a-b", "d"]).fit(table)
+    assert len(fitted.stages[2].labelsArray[0]) == 1  # the indexer holds the common value only
+    fitted.write().save(str(tmp_path / "pre"))
+    asked = spark.createDataFrame(
+        [("v7", "1", 0), ("v299999", "2", 1), ("often", "0", 2), ("v300000", "1", 3), (None, None, None)],
+        "`a-b` string, d string, n long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        got = PipelineModel.load(str(tmp_path / "pre")).transform(asked)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert ("BroadcastHashJoin" in plan) == (broadcast != "-1")
+        found = {r["a-b"]: r["features"].toArray().tolist()[1:] for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert encode.feature_names(got) == ["n", "a-b_often", "a-b_infrequent_sklearn", "d_0", "d_1", "d_2"]
+    assert found == {
+        "v7": [0, 1, 0, 1, 0], "v299999": [0, 1, 0, 0, 1], "often": [1, 0, 1, 0, 0],
+        "v300000": [0, 0, 0, 1, 0], None: [0, 0, 0, 0, 0],
+    }
 
 
 def test_vectors_are_sparse(spark, coloured):

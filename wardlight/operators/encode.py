@@ -14,7 +14,9 @@ from pyspark.ml import Estimator, Model, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import (
+    DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter,
+)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,13 +24,17 @@ from pyspark.sql import types as T
 from wardlight.config import CODE_COLUMNS
 from wardlight.functions.clinical import quoted
 from wardlight.operators.prefix import ROWS_PER_RANGE, add_ranges, running_totals
+from wardlight.session import Scratch, scratch_path
 
 INFREQUENT = "infrequent_sklearn"  # fixed value: name of the pooled column
 UNKNOWN = "Unknown"
 # Distinct values up to which the built-in exact median may keep its buffer.
 MEDIAN_VALUES = 100_000
-# Categories of all columns together that a fitted encoder may hold.
-MAX_CATEGORIES = 200_000
+# Categories, common and rare, that a fitted encoder holds itself; with more, the rare
+# ones go to a table that is saved with the model and joined.
+INLINE_CATEGORIES = 20_000
+# Common categories of all columns: each is an entry of the feature vector.
+MAX_COMMON = 1_000_000
 
 
 def infer_column_groups(
@@ -270,21 +276,27 @@ class CategoryFloor(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
     Categories with fewer than ``minFrequency`` rows share one pooled column.
     ``unseen`` says what a value not met in training becomes: ``zeros`` (no
     column set) or ``infrequent`` (the pooled column; rare values then need
-    not be remembered, for columns with very many of them).
+    not be remembered).
 
-    Fits to an indexer (hash lookup in the JVM) followed by the pooling stage.
+    Fits to an indexer (hash lookup in the JVM) followed by the pooling stage. With
+    more than ``inlineCategories`` values only the common ones are in the indexer: the
+    rare ones are written as a table, which ``CategoryRare`` joins.
     """
 
     minFrequency = Param(Params._dummy(), "minFrequency", "row floor", TypeConverters.toInt)
     unseen = Param(Params._dummy(), "unseen", "zeros or infrequent", TypeConverters.toString)
+    inlineCategories = Param(
+        Params._dummy(), "inlineCategories", "categories kept in the model itself",
+        TypeConverters.toInt,
+    )
 
     @keyword_only
     def __init__(
         self, *, inputCols: list[str] | None = None, minFrequency: int = 10,
-        unseen: str = "zeros",
+        unseen: str = "zeros", inlineCategories: int = INLINE_CATEGORIES,
     ):
         super().__init__()
-        self._setDefault(minFrequency=10, unseen="zeros")
+        self._setDefault(minFrequency=10, unseen="zeros", inlineCategories=INLINE_CATEGORIES)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> PipelineModel:
@@ -293,23 +305,26 @@ class CategoryFloor(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
             raise ValueError(f"unseen: {unseen!r}")
         names = self.getInputCols()
         counts = category_counts(df, names)
+        stored: dict[str, str] = {}
         if unseen == "infrequent":
             # one row per column stands for all its rare values
             rare = F.col("n") < floor
             counts = counts.groupBy(
                 "column_name", F.when(rare, None).otherwise(F.col("category")).alias("category")
             ).agg(F.sum("n").alias("n"), F.max(rare).alias("rare"))
+            rows = _collect_common(counts)
         else:
             counts = counts.withColumn("rare", F.col("n") < floor)
-        rows = counts.limit(MAX_CATEGORIES + 1).collect()
-        if len(rows) > MAX_CATEGORIES:
-            raise ValueError(
-                f"more than {MAX_CATEGORIES} categories: leave out id-like columns, raise "
-                "minFrequency, or use unseen='infrequent'"
-            )
+            inline = self.getOrDefault(self.inlineCategories)
+            rows = counts.limit(inline + 1).collect()
+            if len(rows) > inline:
+                with Scratch(df.sparkSession, "categories") as scratch:
+                    counts = scratch.store(counts)
+                    rows = _collect_common(counts.where("NOT rare"))
+                    stored = _store_rare(counts.where("rare"), names)
         common: dict[str, list[str]] = {c: [] for c in names}
         listed: dict[str, list[str]] = {c: [] for c in names}
-        pooled = dict.fromkeys(names, unseen == "infrequent")
+        pooled = {c: unseen == "infrequent" or c in stored for c in names}
         for r in rows:
             column = r["column_name"]
             pooled[column] = pooled[column] or r["rare"]
@@ -333,15 +348,100 @@ class CategoryFloor(Estimator, HasInputCols, DefaultParamsReadable, DefaultParam
             stringOrderType="frequencyDesc", handleInvalid="keep",
         ).fit(vocabulary)
         layout = {
-            c: {"common": common[c], "n_rare": len(listed[c]), "pooled": pooled[c]}
+            c: {"common": common[c], "n_rare": len(listed[c]), "pooled": pooled[c],
+                "stored": c in stored}
             for c in names
         }
+        joined = [CategoryRare(
+            inputCols=list(stored), folders=list(stored.values()),
+            commons=[len(common[c]) for c in stored],
+        )] if stored else []
         return PipelineModel([
-            CategoryText(inputCols=names), indexer,
+            CategoryText(inputCols=names), indexer, *joined,
             CategoryPool(inputCols=names, layoutJson=json.dumps(layout), unseen=unseen),
         ])
 
 
+def _collect_common(counts: DataFrame) -> list:
+    """The categories that become entries of the feature vector."""
+    rows = counts.limit(MAX_COMMON + 1).collect()
+    if len(rows) > MAX_COMMON:
+        raise ValueError(
+            f"the feature vector would have more than {MAX_COMMON} entries: raise minFrequency "
+            "or leave out id-like columns"
+        )
+    return rows
+
+
+def _store_rare(rare: DataFrame, names: Sequence[str]) -> dict[str, str]:
+    """Write the rare categories of each column; the folder per column that has some."""
+    path = scratch_path(rare.sparkSession, "rare")
+    place = F.array_position(F.lit(list(names)), F.col("column_name"))
+    rare.select(place.alias("place"), "category").hint("rebalance", "place").write.partitionBy(
+        "place").parquet(path)
+    found = {r["column_name"] for r in rare.select("column_name").distinct().collect()}
+    return {c: f"{path}/place={i}" for i, c in enumerate(names, 1) if c in found}
+
+
+class _RareWriter(DefaultParamsWriter):
+    """Saves the folders of rare categories with the stage."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        for i, table in enumerate(self.instance.tables(self.sparkSession)):
+            table.write.parquet(f"{path}/rare/{i}")
+
+
+class _RareReader(DefaultParamsReader):
+    def load(self, path: str) -> "CategoryRare":
+        stage = super().load(path)
+        return stage._set(folders=[f"{path}/rare/{i}" for i in range(len(stage.getInputCols()))])
+
+
+class CategoryRare(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
+    """One bit per column: whether the value was seen in training, but rarely.
+
+    Each column's rare values are a stored table, joined by value: Spark broadcasts it
+    where its files are small, else both sides are shuffled. A common value needs no
+    lookup; its rows are dealt out by hash instead of meeting in one task.
+    """
+
+    folders = Param(Params._dummy(), "folders", "per column", TypeConverters.toListString)
+    commons = Param(Params._dummy(), "commons", "common values", TypeConverters.toListInt)
+
+    @keyword_only
+    def __init__(
+        self, *, inputCols: list[str] | None = None, folders: list[str] | None = None,
+        commons: list[int] | None = None,
+    ):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def tables(self, spark) -> list[DataFrame]:
+        return [
+            spark.read.schema("category string").parquet(folder)
+            for folder in self.getOrDefault(self.folders)
+        ]
+
+    def write(self) -> _RareWriter:
+        return _RareWriter(self)
+
+    @classmethod
+    def read(cls) -> _RareReader:
+        return _RareReader(cls)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        columns, commons = self.getInputCols(), self.getOrDefault(self.commons)
+        spread = F.xxhash64(*[quoted(f"text__{c}") for c in columns]).cast("string")
+        for c, n_common, table in zip(columns, commons, self.tables(df.sparkSession)):
+            looked_up = quoted(f"index__{c}") >= n_common
+            key = F.when(looked_up, quoted(f"text__{c}")).otherwise(spread)
+            known = table.select(
+                F.col("category").alias("rare__key"), F.lit(True).alias(f"rare__{c}"))
+            df = df.join(known, key == F.col("rare__key"), "left").drop("rare__key")
+        return df
+
+
 class CategoryText(Transformer, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Category columns as text, missing ones as ``Unknown``."""
 
@@ -379,15 +479,17 @@ class CategoryPool(Transformer, HasInputCols, DefaultParamsReadable, DefaultPara
         pool_unseen = self.getOrDefault(self.unseen) == "infrequent"
         codes = []
         for c, mine in self.layout().items():
-            index, n_common = F.col(f"index__{c}"), len(mine["common"])
+            index, n_common = quoted(f"index__{c}"), len(mine["common"])
             vals = mine["common"] + ([INFREQUENT] if mine["pooled"] else []) + ["__unseen"]
             code = F.when(index < n_common, index)
             if mine["n_rare"]:
                 code = code.when(index < n_common + mine["n_rare"], float(n_common))
+            if mine["stored"]:
+                code = code.when(quoted(f"rare__{c}"), float(n_common))
             code = code.otherwise(float(n_common if pool_unseen else len(vals) - 1))
             meta = {"ml_attr": {"type": "nominal", "name": c, "vals": vals}}
             codes.append(code.alias(f"code__{c}", metadata=meta))
-        helpers = {f"{kind}__{c}" for c in self.getInputCols() for kind in ("text", "index")}
+        helpers = {f"{kind}__{c}" for c in self.getInputCols() for kind in ("text", "index", "rare")}
         return df.select(*[quoted(c) for c in df.columns if c not in helpers], *codes)
 
 
@@ -399,15 +501,18 @@ class Preprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
     minFrequency = Param(Params._dummy(), "minFrequency", "", TypeConverters.toInt)
     scale = Param(Params._dummy(), "scale", "", TypeConverters.toBoolean)
     unseen = Param(Params._dummy(), "unseen", "", TypeConverters.toString)
+    inlineCategories = Param(Params._dummy(), "inlineCategories", "", TypeConverters.toInt)
 
     @keyword_only
     def __init__(
         self, *, numericCols: list[str] = [], categoricalCols: list[str] = [],
         minFrequency: int = 10, scale: bool = True, unseen: str = "zeros",
+        inlineCategories: int = INLINE_CATEGORIES,
     ):
         super().__init__()
         self._setDefault(
-            numericCols=[], categoricalCols=[], minFrequency=10, scale=True, unseen="zeros"
+            numericCols=[], categoricalCols=[], minFrequency=10, scale=True, unseen="zeros",
+            inlineCategories=INLINE_CATEGORIES,
         )
         self._set(**self._input_kwargs)
 
@@ -423,6 +528,7 @@ class Preprocessor(Estimator, DefaultParamsReadable, DefaultParamsWritable):
             floor = CategoryFloor(
                 inputCols=categorical, minFrequency=self.getOrDefault(self.minFrequency),
                 unseen=self.getOrDefault(self.unseen),
+                inlineCategories=self.getOrDefault(self.inlineCategories),
             ).fit(df)
             coded = floor.transform(df)
             # Sizes come from the metadata, so this fit reads no rows. The
@@ -455,7 +561,7 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
 
 
 __all__ = [
-    "CategoryFloor", "CategoryPool", "CategoryText", "MedianScaler", "MedianScalerModel",
+    "CategoryFloor", "CategoryPool", "CategoryRare", "CategoryText", "MedianScaler", "MedianScalerModel",
     "Preprocessor", "category_counts", "exact_medians", "feature_names",
     "infer_column_groups", "numeric_statistics",
 ]

@@ -7,6 +7,7 @@ from dataclasses import replace
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -380,30 +381,49 @@ def encode_category_floor(spark, folder):
     )
 
 
-@query
-def encode_onehot(spark, folder):
-    """One-hot columns set per row, counted by feature and split."""
-    table = _categories(spark, folder)
-    model = encode.Preprocessor(categoricalCols=CATEGORICAL).fit(table.where("split = 'train'"))
-    encoded = model.transform(table)
-    names = spark.createDataFrame(
+def _entries(encoded: DataFrame) -> DataFrame:
+    """The non-zero entries of each row's vector: encounter_id, split, feature, value."""
+    names = encoded.sparkSession.createDataFrame(
         list(enumerate(encode.feature_names(encoded))), "place int, feature string"
     )
-    from pyspark.ml.functions import vector_to_array
-
-    ones = F.filter(
-        F.transform(
-            vector_to_array("features"), lambda x, i: F.when(x == 1.0, i)
-        ), lambda i: i.isNotNull(),
-    )
+    entries = F.posexplode(vector_to_array("features")).alias("place", "value")
     return (
-        encoded.select("encounter_id", "split", F.explode(ones).alias("place"))
-        .groupBy("place", "split")
-        .agg(F.count("*").alias("n"), F.sum("encounter_id").alias("id_sum"))
-        .join(names, "place").select("feature", "split", "n", "id_sum")
+        encoded.select("encounter_id", "split", entries).where("abs(value) > 5e-7")
+        .join(names, "place").drop("place")
+    )
+
+
+def _onehot(spark, folder, **options):
+    """One-hot columns set per row, counted by feature and split."""
+    table = _categories(spark, folder)
+    train = table.where("split = 'train'")
+    model = encode.Preprocessor(categoricalCols=CATEGORICAL, **options).fit(train)
+    return _entries(model.transform(table)).where("value = 1").groupBy("feature", "split").agg(
+        F.count("*").alias("n"), F.sum("encounter_id").alias("id_sum")
     )
 
 
+@query
+def encode_onehot(spark, folder):
+    return _onehot(spark, folder)
+
+
+@query
+def encode_onehot_stored(spark, folder):
+    """The same with the rare categories in a stored table instead of the model."""
+    return _onehot(spark, folder, inlineCategories=0)
+
+
+@query
+def encode_features(spark, folder):
+    """Both branches in one vector: every entry of every row."""
+    columns = dict.fromkeys(["encounter_id", PATIENT_ID, *NUMERIC, *CATEGORICAL])
+    table = materialize(split.group_split(view.encounters(spark, folder).select(*columns)))
+    model = encode.Preprocessor(numericCols=NUMERIC, categoricalCols=CATEGORICAL).fit(
+        table.where("split = 'train'"))
+    return _entries(model.transform(table))
+
+
 # --- profile ----------------------------------------------------------------
 
 

@@ -250,7 +250,31 @@ def _encoder_sql() -> dict[str, str]:
     ])
     floors = f""", long AS ({long}), floors AS (
       SELECT column_name, category, count(*) AS n FROM long WHERE split = 'train' GROUP BY ALL)"""
+    onehot = f"""{_VIEWS} {floors}
+          SELECT concat(l.column_name, '_',
+              CASE WHEN f.n < 10 THEN 'infrequent_sklearn' ELSE l.category END) AS feature,
+            l.split, count(*) AS n, CAST(sum(l.encounter_id) AS BIGINT) AS id_sum
+          FROM long l JOIN floors f USING (column_name, category) GROUP BY ALL"""
+    numbers = _unions([
+        f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS x, encounter_id, "
+        f"{_side('patient_nbr')} AS split FROM enc" for c in _NUMERIC
+    ])
     return {
+        "encode_onehot_stored": onehot,
+        "encode_features": f"""{_VIEWS} {floors}, numbers AS ({numbers}), middles AS (
+            SELECT column_name, median(x) AS m FROM numbers WHERE split = 'train' GROUP BY ALL
+          ), moments AS (
+            SELECT column_name, m, avg(coalesce(x, m)) AS a, stddev_pop(coalesce(x, m)) AS s
+            FROM numbers JOIN middles USING (column_name) WHERE split = 'train' GROUP BY ALL
+          ), entries AS (
+            SELECT encounter_id, split, column_name AS feature,
+              (coalesce(x, m) - a) / CASE WHEN s = 0 THEN 1 ELSE s END AS value
+            FROM numbers JOIN moments USING (column_name)
+            UNION ALL SELECT encounter_id, split, concat(column_name, '_',
+              CASE WHEN n < 10 THEN 'infrequent_sklearn' ELSE category END), 1.0
+            FROM long JOIN floors USING (column_name, category)
+          ) SELECT encounter_id, split, feature, round(value, 6) AS value FROM entries
+          WHERE abs(value) > 5e-7""",
         "encode_numeric_stats": f"{_VIEWS} {stats}",
         "encode_scaled": f"""{_VIEWS}, med AS (SELECT {medians} FROM enc),
           mom AS (SELECT {moments} FROM enc, med)
@@ -258,11 +282,7 @@ def _encoder_sql() -> dict[str, str]:
         "encode_category_floor": f"""{_VIEWS} {floors}
           SELECT column_name, category, n,
             CASE WHEN n < 10 THEN 1 ELSE 0 END AS infrequent FROM floors""",
-        "encode_onehot": f"""{_VIEWS} {floors}
-          SELECT concat(l.column_name, '_',
-              CASE WHEN f.n < 10 THEN 'infrequent_sklearn' ELSE l.category END) AS feature,
-            l.split, count(*) AS n, CAST(sum(l.encounter_id) AS BIGINT) AS id_sum
-          FROM long l JOIN floors f USING (column_name, category) GROUP BY ALL""",
+        "encode_onehot": onehot,
         "encode_column_groups": _VIEWS + _unions(
             [f"SELECT '{c}' AS column_name, 'numeric' AS kind, count({c}) AS n_known FROM enc"
              for c in _NUMERIC]
