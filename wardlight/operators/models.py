@@ -10,25 +10,38 @@ from pyspark.ml.classification import (
     GBTClassifier, LogisticRegression, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlight.functions.clinical import quoted
 from wardlight.operators.encode import Preprocessor, infer_column_groups
 from wardlight.operators.features import EncounterFeatures, SchemaAligner
-from wardlight.session import materialize
+from wardlight.session import Scratch
 
 # Spark's own limit; stands for "no limit".
 DEEPEST = 30
+# Identifies a learning row, whatever partition it comes in.
+ROW_KEY = "row_key"
+# Tasks over which the rows of a tree fit are dealt, at most.
+MAX_TASKS = 10_000
+# Weights of tree fits are multiples of this, so that their sums are exact in any order.
+WEIGHT_STEP = 2.0 ** -20
 
 
-def class_weights(df: DataFrame, label: str = "label") -> dict[int, float]:
-    """Balanced weights n / (classes * n_class)."""
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count("*").alias("n")).collect()}
+def balanced_weights(counts: dict[int, int]) -> dict[int, float]:
+    """Weights n / (classes * n_class) from the rows of each class."""
     total = sum(counts.values())
     return {int(k): total / (len(counts) * n) for k, n in counts.items()}
 
 
+def class_weights(df: DataFrame, label: str = "label") -> dict[int, float]:
+    """Balanced weights of a table."""
+    rows = df.groupBy(label).agg(F.count("*").alias("n")).collect()
+    return balanced_weights({r[label]: r["n"] for r in rows})
+
+
 def weight_column(weights: dict[int, float], label: str = "label") -> Column:
     chain = F
     for value, weight in weights.items():
@@ -78,29 +91,85 @@ BOOSTED_POSITIVE_WEIGHT = 8.0
 
 @dataclass(frozen=True)
 class ModelSpec:
-    """A named classifier family; register new ones in ``MODELS``."""
+    """A named classifier family; register new ones in ``MODELS``.
+
+    ``positive_weight`` stands in for the balanced weights; a parameter of that name
+    replaces it. Fits of a family that draws rows at random (``dealt``) see them in
+    partitions and an order that follow from the rows alone.
+    """
 
     name: str
     build: Callable[..., Estimator]
     defaults: dict = field(default_factory=dict)
-    fixed_weights: dict[int, float] | None = None
-    # Rows worth a task of their own; fewer tasks make small iterative fits
-    # quick, and a large table keeps all its partitions.
+    positive_weight: float | None = None
+    dealt: bool = False
+    # Rows worth a task of their own; fewer tasks make small iterative fits quick.
     rows_per_task: int = 1_000
 
-    def weights(self, df: DataFrame, class_weight: str | None) -> dict[int, float]:
+    def weights(
+        self, counts: dict[int, int], class_weight: str | None, positive: float | None = None
+    ) -> dict[int, float]:
         if class_weight is None:
             return {0: 1.0, 1: 1.0}
         if class_weight != "balanced":
             raise ValueError(f"class_weight: {class_weight!r}")
-        return self.fixed_weights or class_weights(df)
+        positive = positive or self.positive_weight
+        return {0: 1.0, 1: float(positive)} if positive else balanced_weights(counts)
+
+
+class LearningRows:
+    """Encoded rows (label, features, row_key) and what all fits on them share.
+
+    One pass counts the classes and, where a ``weight`` column is named, sums it.
+    """
+
+    def __init__(self, table: DataFrame, weight: str | None = None) -> None:
+        if ROW_KEY not in table.columns:
+            table = table.withColumn(ROW_KEY, F.xxhash64(*map(quoted, table.columns)))
+        self.table, self.weight = table, weight
+        mass = F.sum(weight) if weight else F.count("*")
+        rows = table.groupBy("label").agg(
+            F.count("*").alias("n"), mass.cast("double").alias("mass")).collect()
+        self.counts = {int(r["label"]): r["n"] for r in rows}
+        self.mass = {int(r["label"]): r["mass"] for r in rows}
+        self.n = sum(self.counts.values())
+        self._dealt: dict[int, DataFrame] = {}
+
+    def weighted(
+        self, spec: ModelSpec, class_weight: str | None, positive: float | None = None
+    ) -> tuple[DataFrame, float]:
+        """The rows with their ``weight``, laid out for the family, and the total weight."""
+        if self.weight:
+            column, total = F.col(self.weight), sum(self.mass.values())
+        else:
+            weights = spec.weights(self.counts, class_weight, positive)
+            column = weight_column(weights)
+            total = sum(weights.get(k, 1.0) * n for k, n in self.counts.items())
+        if spec.dealt:
+            column = F.round(column / WEIGHT_STEP) * WEIGHT_STEP
+            return self._deal(spec.rows_per_task).withColumn("weight", column), total
+        few = max(1, -(-self.n // spec.rows_per_task))
+        return self.table.withColumn("weight", column).coalesce(few), total
+
+    def _deal(self, rows_per_task: int) -> DataFrame:
+        """The rows in partitions that are a function of the rows alone."""
+        tasks = min(MAX_TASKS, max(1, -(-self.n // rows_per_task)))
+        if tasks not in self._dealt:
+            dealt = self.table.repartition(tasks, ROW_KEY).sortWithinPartitions(ROW_KEY)
+            self._dealt[tasks] = dealt.persist()
+        return self._dealt[tasks]
+
+    def release(self) -> None:
+        for table in self._dealt.values():
+            table.unpersist()
+        self._dealt.clear()
 
 
 MODELS: dict[str, ModelSpec] = {
     "LogReg": ModelSpec("LogReg", logistic_regression, rows_per_task=50_000),
-    "RandomForest": ModelSpec("RandomForest", random_forest),
+    "RandomForest": ModelSpec("RandomForest", random_forest, dealt=True),
     "BoostedTrees": ModelSpec(
-        "BoostedTrees", boosted_trees, fixed_weights={0: 1.0, 1: BOOSTED_POSITIVE_WEIGHT}
+        "BoostedTrees", boosted_trees, positive_weight=BOOSTED_POSITIVE_WEIGHT, dealt=True
     ),
 }
 
@@ -129,21 +198,70 @@ def fit_encoder(
     ).fit(featured)
 
 
+def learning_rows(encoder: PipelineModel, featured: DataFrame) -> DataFrame:
+    """label, features and the key of each row."""
+    key = F.xxhash64(*map(quoted, featured.columns))
+    return encoder.transform(featured.withColumn(ROW_KEY, key)).select(
+        ROW_KEY, "label", "features")
+
+
 def fit_classifier(
-    encoded: DataFrame, spec: ModelSpec, params: dict | None = None,
+    encoded: DataFrame | LearningRows, spec: ModelSpec, params: dict | None = None,
     class_weight: str | None = "balanced", weight: str | None = None, seed: int = 42,
 ):
     """Fit one classifier on (features, label), by class or given row weights."""
-    if weight is None:
-        weighted = encoded.withColumn("weight", weight_column(spec.weights(encoded, class_weight)))
-    else:
-        weighted = encoded.withColumn("weight", F.col(weight))
-    rows, total = weighted.agg(F.count("*"), F.sum("weight")).first()
-    weighted = weighted.coalesce(max(1, -(-rows // spec.rows_per_task)))
     options = {**spec.defaults, **(params or {})}
+    positive = options.pop("positive_weight", None)
     if spec.name != "LogReg":
         options.setdefault("seed", seed)
-    return spec.build(total, **options).fit(weighted)
+    rows = encoded if isinstance(encoded, LearningRows) else LearningRows(encoded, weight)
+    try:
+        weighted, total = rows.weighted(spec, class_weight, positive)
+        return spec.build(total, **options).fit(weighted)
+    finally:
+        if rows is not encoded:
+            rows.release()
+
+
+def logistic_certificate(
+    model, encoded: DataFrame | LearningRows, C: float = 1.0,
+    class_weight: str | None = "balanced", tolerance: float = 1e-3,
+) -> DataFrame:
+    """How far a logistic fit is from its optimum, by one distributed aggregate.
+
+    The gradient of |w|^2 / 2 + C * (sum of weighted log losses) at the fitted
+    coefficients is summed over all rows, the negative and the positive residuals
+    apart. It is measured against the size the loss part has with all residuals of one
+    sign. As the penalty is strongly convex, ``gradient_norm`` also bounds the distance of the
+    coefficients to the optimum for this intercept. One row: n_rows, objective, gradient_norm,
+    relative_gradient, optimal.
+    """
+    rows = encoded if isinstance(encoded, LearningRows) else LearningRows(encoded)
+    weighted, _ = rows.weighted(MODELS["LogReg"], class_weight)
+    y = F.col("label").cast("double")
+    scored = model.transform(weighted).withColumn("score", positive_score())
+    residual = F.col("weight") * (F.col("score") - y)
+    chance = F.when(y == 1, F.col("score")).otherwise(1 - F.col("score"))
+    loss = -F.log(F.greatest(chance, F.lit(1e-300)))
+    over, under = F.greatest(residual, F.lit(0.0)), F.greatest(-residual, F.lit(0.0))
+    features = F.col("features")
+    found = scored.agg(
+        F.count("*").alias("n"), Summarizer.sum(features, over).alias("over"),
+        Summarizer.sum(features, under).alias("under"), F.sum(residual).alias("intercept"),
+        F.sum(F.col("weight") * loss).alias("loss"),
+        Summarizer.sum(features, F.abs(residual)).alias("size"),
+    ).first()
+    w = model.coefficients.toArray()
+    gradient = w + C * (found["over"].toArray() - found["under"].toArray())
+    norm = float((gradient @ gradient + (C * found["intercept"]) ** 2) ** 0.5)
+    sizes = found["size"].toArray()
+    size = float((w @ w) ** 0.5 + C * (sizes @ sizes) ** 0.5)
+    objective = float(w @ w / 2 + C * found["loss"])
+    return weighted.sparkSession.createDataFrame(
+        [(found["n"], objective, norm, norm / size, norm <= tolerance * size)],
+        "n_rows long, objective double, gradient_norm double, relative_gradient double, "
+        "optimal boolean",
+    )
 
 
 def input_schema(df: DataFrame, skip: Sequence[str] = NOT_FEATURES) -> T.StructType:
@@ -172,8 +290,9 @@ def fit_pipeline(
         encoder = fit_encoder(featured, exclude, min_frequency)
         # Iterative fits start from a short lineage: every task of every
         # iteration would otherwise carry the encoders' lookup tables.
-        encoded = materialize(encoder.transform(featured).select("label", "features"))
-        classifier = fit_classifier(encoded, MODELS[model], params, class_weight, seed=seed)
+        with Scratch(train.sparkSession, "fit") as scratch:
+            encoded = scratch.store(learning_rows(encoder, featured))
+            classifier = fit_classifier(encoded, MODELS[model], params, class_weight, seed=seed)
     finally:
         featured.unpersist()
     return scoring_pipeline(input_schema(train), features, encoder, classifier)

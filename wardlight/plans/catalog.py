@@ -1025,7 +1025,7 @@ def ml_reweighted(spark, folder):
     featured = materialize(features.transform(weighted))
     encoder = models.fit_encoder(featured, exclude=("row_weight",))
     encoded = materialize(
-        encoder.transform(featured).select("label", "features", "row_weight")
+        encoder.transform(featured).select("encounter_id", "label", "features", "row_weight")
     )
     classifier = models.fit_classifier(encoded, models.MODELS["LogReg"], weight="row_weight")
     model = models.scoring_pipeline(models.input_schema(train), features, encoder, classifier)

@@ -63,7 +63,7 @@ def run_training(
     folded = spread(materialize(split.assign_folds(train, config.folds, seed=config.seed)))
 
     audit = [a for a in config.protected if a in table.columns]
-    results = tuning.tune_models(folded, config, audit=audit)
+    results = tuning.tune_models(folded, config, audit=audit, store=f"{out}/tuning")
     cv_summary = tuning.summarize_tuning(spark, results)
     best = tuning.select_best_model(results)
 
@@ -96,6 +96,9 @@ def run_training(
 
     paths = sinks.save_model(best.model, f"{out}/models", best.model_name)
     paths["cv_summary"] = sinks.write_report(cv_summary, f"{out}/reports/cv_summary")
+    paths["cv_results"] = sinks.write_report(
+        tuning.cv_results(spark, results), f"{out}/reports/cv_results"
+    )
     paths["holdout_metrics"] = sinks.write_metrics(
         holdout_metrics, f"{out}/reports/holdout_metrics"
     )
