@@ -30,5 +30,6 @@ def odd_docs(make_docs):
         (7, "one id", "en", "a", 6), (7, "another text with this id", "en", "a", 25),
     ]
     clashing = ("row", "size", "words", "hashes", "tag", "key", "n", "kept", "found", "node",
-                "class", "place", "range", "start", "end", "score", "clean", "rule", "leaf")
+                "class", "place", "range", "start", "end", "score", "clean", "rule", "leaf", "a.b",
+                "back`tick")
     return make_docs(rows).withColumns({c: F.lit(f"extra {c}") for c in clashing})

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wardlight.llm.common import quoted
+
 WINDOW = 10
 MAX_BLOCK_BYTES = 32_000_000
 
@@ -153,7 +155,7 @@ def find_overlaps(
     )
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-total // max_block_bytes))
-    scanned = docs.select(F.struct(*carry).alias("row"), "text")
+    scanned = docs.select(F.struct(*map(quoted, carry)).alias("row"), "text")
     for block in range(blocks):
         # One block, of about max_block_bytes, is on the driver at a time.
         held = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).collect()

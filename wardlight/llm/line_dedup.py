@@ -12,8 +12,9 @@ more recurs, and so does a line of ``LONG_LINE`` tokens and more that stands wor
 word in ``LONG_MIN_DOCS`` documents. Its lines are dropped, but for those of its first
 document (smallest id), so that no content is lost altogether.
 
-The levels prune each other: only lines of leaves with as many lines as a template of
-theirs needs are expanded. Only hashes travel, and all steps are built-in functions.
+The levels prune each other: a first pass looks at the number of tokens and the leading
+ones only, and only lines of leaves with as many lines as a template of theirs needs are
+hashed token by token. Only hashes travel, and all steps are built-in functions.
 
 Defined cases: a NULL text has no lines and stays NULL; lines without tokens stay
 and are no templates; the NULL id is last in the order; rows with equal id and text
@@ -26,7 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import row_tag, stored, words
+from wardlight.llm.common import quoted, row_tag, stored, words
+from wardlight.session import Scratch
 
 MIN_DOCS = 10
 LONG_LINE = 10
@@ -57,59 +59,59 @@ def _hashed(body: str) -> tuple[Column, Column]:
     return masked, F.transform(words(F.col("masked")), lambda t: F.xxhash64(t))
 
 
-def _leaf() -> Column:
-    return F.xxhash64(F.size("hashes"), F.slice("hashes", 1, LEADING))
+def leaves(docs: DataFrame) -> DataFrame:
+    """doc_id, tag, line, number of tokens and leaf of each line with tokens.
 
-
-def templates(docs: DataFrame) -> DataFrame:
-    """One row per line with tokens: doc_id, tag, line, n, leaf, keys and the exact key.
-
-    ``exact`` is NULL for short lines.
+    Only the leading tokens are looked at; in a line of words with one blank between
+    any two the others are counted by their blanks.
     """
-    masked, hashes = _hashed("body")
-    whole = F.xxhash64("hashes")
-    return (
+    body = F.col("body")
+    plain = (body != "") & ~body.rlike(r"[\t\x0B\f\r]|  |^ | $")
+    blanks = F.octet_length(body) - F.octet_length(F.replace(body, F.lit(" "), F.lit("")))
+    found = (
         docs.select("doc_id", row_tag().alias("tag"),
                     F.posexplode(F.split("text", "\n", -1)).alias("line", "body"))
-        .select("doc_id", "tag", "line", "body", masked.alias("masked"))
-        .select("doc_id", "tag", "line", "body", "masked", hashes.alias("hashes"))
         .select(
-            "doc_id", "tag", "line", F.size("hashes").alias("n"), _leaf().alias("leaf"),
-            F.when(F.size("hashes") >= MIN_FIELD_TOKENS, F.array(
-                whole, *[_open_run("hashes", r) for r in range(RUNS)]
-            )).otherwise(F.array(whole)).alias("keys"),
-            # Without a variable token the masked line is the line.
-            F.when(F.size("hashes") >= LONG_LINE, F.when(
-                F.col("masked") == F.col("body"), F.xxhash64(F.lit("exact"), "hashes")
-            ).otherwise(F.xxhash64(F.lit("exact"), F.transform(
-                words(F.col("body")), lambda t: F.xxhash64(t))))).alias("exact"),
+            "doc_id", "tag", "line",
+            F.when(plain, blanks + 1).otherwise(F.size(words(body))).alias("n"),
+            F.when(plain, F.substring_index(body, " ", LEADING)).otherwise(
+                F.array_join(F.slice(words(body), 1, LEADING), " ")).alias("lead"),
         )
     )
+    masked = F.when(F.col("lead").rlike("[0-9]"), F.regexp_replace("lead", TOKEN, WILDCARD))
+    return found.where("n > 0").select(
+        "doc_id", "tag", "line", "n", F.xxhash64("n", masked.otherwise(F.col("lead"))).alias("leaf"))
 
 
 def _lines_of(docs: DataFrame, held: DataFrame) -> DataFrame:
-    """The held lines with their leaf and token hashes, made from the texts again.
+    """The held lines with their token hashes and exact key, made from the texts again.
 
     Only these lines are split into tokens, and no token of another line travels.
+    ``exact`` is NULL for short lines.
     """
-    wanted = held.groupBy("doc_id", "tag").agg(F.collect_set("line").alias("lines")).select(
-        F.col("doc_id").alias("in_doc"), F.col("tag").alias("in_row"), "lines")
+    wanted = held.groupBy("doc_id", "tag").agg(
+        F.collect_set(F.struct("line", "leaf", "full")).alias("lines")
+    ).select(F.col("doc_id").alias("in_doc"), F.col("tag").alias("in_row"), "lines")
     rows = docs.select("doc_id", "text", row_tag().alias("tag")).join(
         wanted, F.col("doc_id").eqNullSafe(F.col("in_doc")) & (F.col("tag") == F.col("in_row")))
     masked, hashes = _hashed("body")
+    # Without a variable token the masked line is the line.
+    exact = F.when(F.col("masked") == F.col("body"), F.xxhash64(F.lit("exact"), "hashes")).otherwise(
+        F.xxhash64(F.lit("exact"), F.transform(words(F.col("body")), lambda t: F.xxhash64(t))))
     return (
         rows.select("doc_id", "tag", "lines", F.split("text", "\n", -1).alias("bodies"))
-        .select("doc_id", "tag", F.explode(F.transform("lines", lambda i: F.struct(
-            i.alias("line"), F.get("bodies", i).alias("body")))).alias("x"))
-        .select("doc_id", "tag", "x.line", "x.body")
-        .select("doc_id", "tag", "line", masked.alias("masked"))
-        .select("doc_id", "tag", "line", hashes.alias("hashes"))
-        .select("doc_id", "tag", "line", "hashes", F.size("hashes").alias("n"),
-                _leaf().alias("leaf"))
+        .select("doc_id", "tag", F.explode(F.transform("lines", lambda x: F.struct(
+            x["line"].alias("line"), x["leaf"].alias("leaf"), x["full"].alias("full"),
+            F.get("bodies", x["line"]).alias("body")))).alias("x"))
+        .select("doc_id", "tag", "x.line", "x.leaf", "x.full", "x.body")
+        .select("doc_id", "tag", "line", "leaf", "full", "body", masked.alias("masked"))
+        .select("doc_id", "tag", "line", "leaf", "full", "body", "masked", hashes.alias("hashes"))
+        .select("doc_id", "tag", "line", "leaf", "full", "hashes", F.size("hashes").alias("n"),
+                F.when(F.size("hashes") >= LONG_LINE, exact).alias("exact"))
     )
 
 
-def _field_keys(lines: DataFrame, min_docs: int) -> DataFrame:
+def _field_keys(lines: DataFrame, min_docs: int, scratch: Scratch) -> DataFrame:
     """doc_id, tag, line and the key of each template with fields that the leaf suggests."""
     who = ("doc_id", "tag", "line")
     places = lines.select(
@@ -117,7 +119,7 @@ def _field_keys(lines: DataFrame, min_docs: int) -> DataFrame:
         F.posexplode(F.slice("hashes", F.lit(LEADING + 1), F.col("n"))).alias("pos", "token"),
     ).select(*who, "n", "leaf", "pos", "token", F.xxhash64("leaf", "pos", "token").alias("place"))
     # Stored, so that the join reads plain shuffles and a hot place can be split.
-    common = stored(
+    common = scratch.store(
         places.groupBy("place", "doc_id", "tag").agg(F.lit(1).alias("one"))
         .groupBy("place").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs),
         "common-tokens",
@@ -145,38 +147,48 @@ def _field_keys(lines: DataFrame, min_docs: int) -> DataFrame:
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """doc_id, tag and the sorted numbers of the lines to drop; only rows with such lines."""
+    """doc_id, tag and the sorted numbers of the lines to drop; only rows with such lines.
+
+    The result is a stored table; those made on the way are removed.
+    """
     few = min(min_docs, LONG_MIN_DOCS)
-    lines = stored(templates(docs), "line-templates").where("n > 0")
-    # Stored, so that the joins read plain shuffles and a hot key can be split.
-    busy = stored(
-        lines.groupBy("leaf", "n").agg(F.count("*").alias("found"))
-        .where(F.col("found") >= F.when(F.col("n") >= LONG_LINE, few).otherwise(min_docs))
-        .select("leaf", (F.col("found") >= min_docs).alias("full")),
-        "busy-leaves",
-    )
-    held = stored(lines.join(busy, "leaf"), "busy-lines")
-    full = held.where("full")
-    fielded = stored(_lines_of(docs, full.where(F.col("n") > LEADING)), "field-lines")
-    key = lambda df, column, needed: df.select(
-        "doc_id", "tag", "line", column.alias("key"), F.lit(needed).alias("needed"))
-    placed = stored(
-        key(held.where("exact IS NOT NULL"), F.col("exact"), few)
-        .unionByName(key(full, F.explode("keys"), min_docs))
-        .unionByName(key(_field_keys(fielded, min_docs), F.col("key"), min_docs)),
-        "line-keys",
-    )
-    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
-    spread = stored(
-        placed.groupBy("key", "needed", "doc_id", "tag").agg(F.lit(1).alias("one"))
-        .groupBy("key", "needed").agg(F.count("*").alias("docs"), F.min(order).alias("first"))
-        .where(F.col("docs") >= F.col("needed")).select("key", "first"),
-        "recurring-keys",
-    )
-    return (
-        placed.join(spread, "key").where(order != F.col("first"))
-        .groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("line")).alias("dropped"))
-    )
+    with Scratch(docs.sparkSession, "lines") as scratch:
+        # Stored, so that the joins read plain shuffles and a hot key can be split.
+        lines = scratch.store(leaves(docs), "leaves")
+        busy = scratch.store(
+            lines.groupBy("leaf", "n").agg(F.count("*").alias("found"))
+            .where(F.col("found") >= F.when(F.col("n") >= LONG_LINE, few).otherwise(min_docs))
+            .select("leaf", (F.col("found") >= min_docs).alias("full")),
+            "busy-leaves",
+        )
+        held = scratch.store(_lines_of(docs, lines.join(busy, "leaf")), "busy-lines")
+        scratch.drop(lines, busy)
+        full = held.where("full")
+        whole = F.xxhash64("hashes")
+        keys = F.when(F.col("n") >= MIN_FIELD_TOKENS, F.array(
+            whole, *[_open_run("hashes", r) for r in range(RUNS)])).otherwise(F.array(whole))
+        key = lambda df, column, needed: df.select(
+            "doc_id", "tag", "line", column.alias("key"), F.lit(needed).alias("needed"))
+        fields = _field_keys(full.where(F.col("n") > LEADING), min_docs, scratch)
+        placed = scratch.store(
+            key(held.where("exact IS NOT NULL"), F.col("exact"), few)
+            .unionByName(key(full, F.explode(keys), min_docs))
+            .unionByName(key(fields, F.col("key"), min_docs)),
+            "line-keys",
+        )
+        scratch.drop(held)
+        order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
+        spread = scratch.store(
+            placed.groupBy("key", "needed", "doc_id", "tag").agg(F.lit(1).alias("one"))
+            .groupBy("key", "needed").agg(F.count("*").alias("docs"), F.min(order).alias("first"))
+            .where(F.col("docs") >= F.col("needed")).select("key", "first"),
+            "recurring-keys",
+        )
+        return stored(
+            placed.join(spread, "key").where(order != F.col("first"))
+            .groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("line")).alias("dropped")),
+            "recurring-lines",
+        )
 
 
 def find_recurring(
@@ -186,7 +198,8 @@ def find_recurring(
     found = recurring_lines(docs.select("doc_id", "text"), min_docs).select(
         F.col("doc_id").alias("in_doc"), F.col("tag").alias("in_row"), "dropped"
     )
-    rows = docs.select(F.struct(*carry).alias("row"), "doc_id", "text", row_tag().alias("tag"))
+    rows = docs.select(F.struct(*map(quoted, carry)).alias("row"), "doc_id", "text",
+                       row_tag().alias("tag"))
     lines = F.split("text", "\n", -1)
     none = F.array().cast("array<int>")
     return (
@@ -215,10 +228,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         F.col("kept_text").alias(c) if c == "text"
         else F.when(F.size("dropped") > 0, F.char_length("kept_text")).otherwise(F.col("row.n_chars"))
         .cast(docs.schema[c].dataType).alias(c) if c == "n_chars"
-        else F.col(f"row.`{c}`").alias(c)
+        else F.col("row").getField(c).alias(c)
         for c in docs.columns
     ]
-    # The text is joined from its lines once, not again in the condition.
-    rows = stored(found.select(F.struct(*columns).alias("row"), emptied.alias("emptied")),
-                  "line-dedup")
-    return rows.where("NOT emptied").select("row.*")
+    return found.where(~emptied).select(*columns)

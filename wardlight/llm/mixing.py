@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import stored, words
+from wardlight.llm.common import quoted, stored, words
 
 MAX_EPOCHS = 2
 BUDGET_SHARE = 1.5
@@ -90,7 +90,7 @@ def mix(
     """
     sized = stored(
         docs.select(
-            F.struct(*carry).alias("row"), "source",
+            F.struct(*map(quoted, carry)).alias("row"), "source",
             F.size(words(F.col("text"))).cast("long").alias("size"),
             place(F.col("doc_id"), F.col("text"), seed).alias("place"),
         ).withColumn("range", F.substring("place", 1, RANGE_DIGITS)),

@@ -32,8 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import row_tag, stored, word_hashes
+from wardlight.llm.common import quoted, row_tag, stored, word_hashes
 from wardlight.llm.substring_dedup import mix, pieces, window_hashes
+from wardlight.session import Scratch
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -198,18 +199,18 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return joined.mapInArrow(check, "a long, b long")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """node and its class (the smallest node it is linked with, over any steps).
 
     Every round takes the smallest class among the neighbours and then the class
     of that class; tables are stored between rounds, nothing but a count is
     collected.
     """
-    both = stored(
+    both = scratch.store(
         links.select("a", "b").union(links.select("b", "a")).distinct().toDF("node", "near"),
         "class-links",
     )
-    classes = stored(
+    table = classes = scratch.store(
         both.groupBy("node").agg(F.least("node", F.min("near")).alias("class")), "classes")
     while True:
         near = classes.select(F.col("node").alias("near"), F.col("class").alias("near_class"))
@@ -219,13 +220,15 @@ def components(links: DataFrame) -> DataFrame:
             .select("node", F.col("class").alias("old"), F.least("class", "least").alias("mid"))
         )
         jump = classes.select(F.col("node").alias("mid"), F.col("class").alias("far"))
-        moved = stored(
+        moved = scratch.store(
             least.join(jump, "mid", "left").select(
                 "node", "old", F.least("mid", F.coalesce("far", "mid")).alias("class")),
             "classes",
         )
-        classes = moved.select("node", "class")
+        scratch.drop(table)
+        table, classes = moved, moved.select("node", "class")
         if moved.where("old != class").isEmpty():
+            scratch.drop(both)
             return classes
 
 
@@ -238,7 +241,9 @@ def _distinct_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
     )
 
 
-def linked(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def linked(
+    docs: DataFrame, signed: DataFrame, scratch: Scratch, similarity: float = SIMILARITY
+) -> DataFrame:
     """Verified links between nodes that connect each class; see the module's text."""
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(
         F.min("n").alias("n"), F.min("tag").alias("tag"), F.first("bands").alias("bands"))
@@ -246,10 +251,10 @@ def linked(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -
     buckets = (
         placed.groupBy("band", "key").agg(F.count("*").alias("size")).where("size > 1")
     )
-    members = stored(placed.join(buckets, ["band", "key"]), "band-members")
+    members = scratch.store(placed.join(buckets, ["band", "key"]), "band-members")
     # Texts of the nodes that meet any other, one row each, of one row of the node.
     wanted = members.groupBy("node").agg(F.first("tag").alias("tag"))
-    texts = stored(
+    texts = scratch.store(
         docs.select(row_tag().alias("tag"), "text").join(wanted, "tag")
         .groupBy("node").agg(F.first("text").alias("text")),
         "met-texts",
@@ -259,13 +264,13 @@ def linked(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -
     b = small.select("band", "key", F.col("node").alias("b"), F.col("n").alias("n_b"))
     pairs = _distinct_pairs(
         a.join(b, ["band", "key"]).where("a < b").select("a", "b", "n_a", "n_b"), similarity)
-    links = [stored(verified(pairs, texts, similarity), "links")]
+    links = [scratch.store(verified(pairs, texts, similarity), "links")]
 
     large = members.where(F.col("size") > SMALL)
     if large.isEmpty():
         return links[0]
     weights = large.groupBy("node").agg(F.sum("size").alias("weight"))
-    large = stored(
+    large = scratch.store(
         large.join(weights, "node").select(
             "node", "n", F.xxhash64("band", "key").alias("bucket"), "weight"),
         "large-buckets",
@@ -275,13 +280,14 @@ def linked(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY) -
     met = large.join(hub, "bucket").where("node != hub.node").select(
         F.col("node").alias("a"), F.col("n").alias("n_a"),
         F.col("hub.node").alias("b"), F.col("hub.n").alias("n_b"))
-    links.append(stored(verified(_distinct_pairs(met, similarity), texts, similarity), "links"))
+    links.append(scratch.store(verified(_distinct_pairs(met, similarity), texts, similarity), "links"))
     known = links[0].union(links[1])
-    return known.union(stored(_rest_links(large, components(known), texts, similarity), "links"))
+    return known.union(scratch.store(_rest_links(
+        large, components(known, scratch), texts, similarity, scratch), "links"))
 
 
 def _rest_links(
-    large: DataFrame, classes: DataFrame, texts: DataFrame, similarity: float
+    large: DataFrame, classes: DataFrame, texts: DataFrame, similarity: float, scratch: Scratch
 ) -> DataFrame:
     """Links of nodes outside their bucket's largest class to all nodes of other classes.
 
@@ -289,7 +295,7 @@ def _rest_links(
     with one other through an index of shingles and sends links only.
     """
     state = large.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
-    state = stored(state.select("bucket", "node", "class"), "bucket-state")
+    state = scratch.store(state.select("bucket", "node", "class"), "bucket-state")
     main = (
         state.groupBy("bucket", "class").agg(F.count("*").alias("size"))
         .groupBy("bucket").agg(
@@ -348,12 +354,14 @@ def _rest_links(
 def near_classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, tag, n_shingles and class_id, one row per row of ``docs``."""
     docs = docs.select("doc_id", "text")
-    signed = stored(signatures(docs), "signatures")
-    classes = components(linked(docs, signed, similarity))
-    rows = signed.select("doc_id", "tag", "n", "node").join(classes, "node", "left")
-    # A node without links is a class of its own; a text without words has no node.
-    rows = stored(rows.select("doc_id", "tag", "n", F.coalesce("class", "node").alias("class")),
-                  "classed")
+    with Scratch(docs.sparkSession, "near") as scratch:
+        signed = scratch.store(signatures(docs), "signatures")
+        classes = components(linked(docs, signed, scratch, similarity), scratch)
+        rows = signed.select("doc_id", "tag", "n", "node").join(classes, "node", "left")
+        # A node without links is a class of its own; a text without words has no node.
+        rows = stored(
+            rows.select("doc_id", "tag", "n", F.coalesce("class", "node").alias("class")),
+            "classed")
     names = rows.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("class_id"), F.min(_order()).alias("first"))
     return rows.join(names, "class", "left").select(
@@ -375,7 +383,7 @@ def drop_near_copies(docs: DataFrame, similarity: float = SIMILARITY) -> DataFra
         F.when(F.first(has_words), F.count("*")).otherwise(1).alias("equal_rows"),
     ).select(F.col("doc_id").alias("in_doc"), F.col("tag").alias("in_row"), "equal_rows")
     first = stored(first, "near-first")
-    rows = docs.select(F.struct(*docs.columns).alias("row"),
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"),
                        F.col("doc_id").cast("long").alias("doc_id"), row_tag().alias("tag"))
     kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("in_doc"))
                      & (F.col("tag") == F.col("in_row")))
