@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wardlight.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
 from wardlight.llm.common import read_table, stored
+from wardlight.session import Scratch
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,8 +52,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents."""
+    """All stages over the documents; a stage's table goes when the next one is written."""
     docs = read_table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return docs
+    with Scratch(spark, "pipeline") as scratch:
+        for name, stage in STAGES[:-1]:
+            before, docs = docs, scratch.store(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+            scratch.drop(before)
+        name, stage = STAGES[-1]
+        return stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
