@@ -130,6 +130,32 @@ def test_permutation_importance(prepared, fitted):
         explain.permutation_importance(fitted, prepared[0], ["nothing"])
 
 
+@pytest.mark.parametrize("ring_rows", [explain.RING_ROWS, 40])
+def test_ring_shifts_are_permutations(spark, ring_rows):
+    """Whatever the ranges: the k-th next row in hash order, round the whole table."""
+    table = spark.range(500).select(F.col("id").alias("encounter_id"), (F.col("id") * 3).alias("v"))
+    found = explain._ring(table, ["v"], "encounter_id", 1, 4, ring_rows).select(
+        "encounter_id", "__others.v").collect()
+    order = [r["encounter_id"] for r in table.withColumn(
+        "h", split.seeded_hash("encounter_id", 1)).orderBy("h", "encounter_id").collect()]
+    place = {e: i for i, e in enumerate(order)}
+    assert len(found) == 500
+    for e, values in found:
+        assert values == [3 * order[(place[e] + k) % 500] for k in (1, 2, 3, 4)]
+    few = explain._ring(table.limit(2), ["v"], "encounter_id", 1, 3, ring_rows).collect()
+    assert all(len(set(x["v"] for x in r["__others"])) == 2 for r in few)
+
+
+def test_all_inputs_permuted(prepared, fitted):
+    found = {r["feature"]: r for r in explain.permutation_importance(
+        fitted, prepared[0], repeats=3).collect()}
+    assert set(found) == set(expected_schema(fitted).names)
+    area = ranking_areas(predict_risk(fitted, prepared[0])).first()["auc_pr"]
+    assert all(r["auc_pr"] == pytest.approx(area) for r in found.values())
+    assert found["insulin"]["importance"] == pytest.approx(0, abs=1e-12)  # constant
+    assert found["number_inpatient"]["deviation"] > 0
+
+
 def test_excluded_attribute_is_not_a_feature(prepared):
     model = models.fit_pipeline(prepared[0], exclude=("race",))
     assert not any(n.startswith("race") for n in explain.pipeline_feature_names(model))
@@ -141,6 +167,101 @@ def test_boosted_trees(prepared):
     assert ranking_areas(predict_risk(model, prepared[0])).first()["auc_roc"] > 0.6
 
 
+def test_trees_do_not_depend_on_partitions(prepared):
+    """Equal forests, whatever the partitioning and order of the rows."""
+    train = prepared[0]
+    found = {
+        "RandomForest": [], "BoostedTrees": [],
+    }
+    for name, params in (("RandomForest", {"n_estimators": 12, "max_depth": 8}),
+                         ("BoostedTrees", {"n_estimators": 4, "max_depth": 3})):
+        for table in (train, train.repartition(7), train.orderBy(F.desc("encounter_id")).coalesce(1)):
+            model = models.fit_pipeline(table, name, params).stages[-1]
+            found[name].append(model.featureImportances.toArray())
+    for first, *others in found.values():
+        assert first.sum() == pytest.approx(1)
+        assert all(np.array_equal(first, o) or o == pytest.approx(first, abs=1e-9) for o in others)
+
+
+def test_positive_weight_is_a_parameter(prepared):
+    light, heavy = (
+        predict_risk(models.fit_pipeline(prepared[0], "BoostedTrees", {
+            "n_estimators": 3, "max_depth": 2, "positive_weight": w}), prepared[1])
+        .agg(F.avg("score")).first()[0] for w in (1.0, 20.0))
+    assert heavy > light + 0.1
+
+
+def test_certificate(spark):
+    """The gradient equals numpy's, vanishes at the optimum and not elsewhere."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 3))
+    y = (rng.random(400) < 1 / (1 + np.exp(1 - x[:, 0]))).astype(int)
+    rows = models.LearningRows(spark.createDataFrame(
+        [(int(b), Vectors.dense(a)) for a, b in zip(x, y)], ["label", "features"]))
+    spec = models.ModelSpec("LogReg", models.logistic_regression, {"tol": 1e-12})
+    weights = np.where(y == 1, 400 / (2 * y.sum()), 400 / (2 * (400 - y.sum())))
+    exact = models.fit_classifier(rows, spec, {"C": 2.0})
+    early = models.fit_classifier(rows, spec, {"C": 2.0, "max_iter": 2})
+    for model, optimal in ((exact, True), (early, False)):
+        got = models.logistic_certificate(model, rows, 2.0, tolerance=1e-6).first()
+        w, b = model.coefficients.toArray(), model.intercept
+        p = 1 / (1 + np.exp(-x @ w - b))
+        r = weights * (p - y)
+        gradient = np.append(w + 2 * x.T @ r, 2 * r.sum())
+        assert got["gradient_norm"] == pytest.approx(np.linalg.norm(gradient), rel=1e-6, abs=1e-7)
+        loss = -(weights * np.where(y == 1, np.log(p), np.log(1 - p))).sum()
+        assert got["objective"] == pytest.approx(w @ w / 2 + 2 * loss)
+        assert (got["n_rows"], got["optimal"]) == (400, optimal)
+
+
+def test_a_broken_search_goes_on(spark, prepared, tmp_path, monkeypatch):
+    """Complete folds are not fitted again; other settings or rows start anew."""
+    folded = materialize(split.assign_folds(prepared[0], 3))
+    config = RunConfig(folds=3, models=("LogReg",), parallelism=1, grids={"LogReg": {"C": [0.1, 1.0]}})
+    plain, fits = tuning.fit_classifier, []
+
+    def counted(*args, **kwargs):
+        fits.append(1)
+        if len(fits) == 4:  # in the second fold
+            raise RuntimeError("lost")
+        return plain(*args, **kwargs)
+
+    monkeypatch.setattr(tuning, "fit_classifier", counted)
+    store = str(tmp_path / "store")
+    with pytest.raises(RuntimeError):
+        tuning.tune_models(folded, config, store=store)
+    fits = [0] * 10
+    again = tuning.tune_models(folded, config, store=store)["LogReg"]
+    assert len(fits) == 10 + 4 + 1  # two folds of two points, and the best one
+    fits = [0] * 10
+    third = tuning.tune_models(folded, config, store=store)["LogReg"]
+    assert len(fits) == 10 + 1 and third.grid_scores == again.grid_scores
+    fresh = tuning.tune_models(folded, config)["LogReg"]
+    assert [p["folds"] for p in fresh.grid_scores] == [
+        pytest.approx(p["folds"]) for p in again.grid_scores]
+    found = tuning.cv_results(spark, {"LogReg": again}).collect()
+    for r in found:
+        fold = again.scores.where((F.col("fold") == r["fold"]) & (
+            F.col("point") == (0 if "0.1" in r["params"] else 1)))
+        assert ranking_areas(fold).first()["auc_pr"] == pytest.approx(r["score"])
+    fits = [0] * 10
+    tuning.tune_models(folded.where("encounter_id > 5"), config, store=store)
+    assert len(fits) == 10 + 6 + 1
+
+
+def test_tuning_leaves_only_its_store(spark, prepared):
+    from pathlib import Path
+
+    from wardlight.session import shared_dir
+
+    folded = materialize(split.assign_folds(prepared[0], 2))
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "wardlight"
+    before = set(folder.rglob("*.parquet"))
+    tuning.tune_models(folded, RunConfig(folds=2, models=("LogReg",), grids={"LogReg": {"C": [1.0]}}))
+    left = {p.relative_to(folder).parts[1].split("-")[0] for p in set(folder.rglob("*.parquet")) - before}
+    assert left == {"tuning"}
+
+
 def test_grid_points():
     points = tuning.grid_points(RunConfig().grids["RandomForest"])
     assert len(points) == 24 and len(tuning.grid_points(RunConfig().grids["LogReg"])) == 4

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from functools import reduce
+from operator import and_
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlight.config import PATIENT_ID, QUICK_GRIDS, RunConfig
+from wardlight.config import FULL_GRIDS, PATIENT_ID, QUICK_GRIDS, RunConfig
 from wardlight.functions import clinical
 from wardlight.functions.icd9 import add_diagnosis_categories
 from wardlight.operators import (
@@ -848,10 +849,18 @@ def fair_weighted_rates(spark, folder):
 
 # --- models -----------------------------------------------------------------
 
-_SMALL_FOREST = {"n_estimators": 20, "max_depth": 6}
-_SMALL_BOOST = {"n_estimators": 5, "max_depth": 3}
+# Points of the grids in config.py: the largest forest with a depth limit, and the one
+# boosting run.
+FOREST = {"n_estimators": max(FULL_GRIDS["RandomForest"]["n_estimators"]),
+          "max_depth": FULL_GRIDS["RandomForest"]["max_depth"][1]}
+BOOST = {k: v[0] for k, v in FULL_GRIDS["BoostedTrees"].items()}
+PARAMS = {"LogReg": None, "RandomForest": FOREST, "BoostedTrees": BOOST}
+# The whole grid of the logistic regression; the forest's point of the quick run.
+TUNING = RunConfig(grids={
+    "LogReg": FULL_GRIDS["LogReg"], "RandomForest": QUICK_GRIDS["RandomForest"]})
 _PREPARED: dict[tuple, tuple[DataFrame, DataFrame]] = {}
 _FITTED: dict[tuple, PipelineModel] = {}
+_TUNED: dict[tuple, dict[str, tuning.TuningResult]] = {}
 
 
 def _prepared(spark, folder) -> tuple[DataFrame, DataFrame]:
@@ -867,16 +876,47 @@ def _prepared(spark, folder) -> tuple[DataFrame, DataFrame]:
     return _PREPARED[key]
 
 
-def _fitted(spark, folder, name="LogReg", params=None) -> PipelineModel:
-    key = (spark.sparkContext.applicationId, folder, name, str(params))
+def _fitted(spark, folder, name="LogReg") -> PipelineModel:
+    key = (spark.sparkContext.applicationId, folder, name)
     if key not in _FITTED:
-        _FITTED[key] = models.fit_pipeline(_prepared(spark, folder)[0], name, params)
+        _FITTED[key] = models.fit_pipeline(_prepared(spark, folder)[0], name, PARAMS[name])
     return _FITTED[key]
 
 
-def _holdout_report(spark, folder, model) -> DataFrame:
-    scored = score.predict_risk(model, _prepared(spark, folder)[1])
-    return metrics.classification_metrics(materialize(scored))
+def _tuned(spark, folder) -> dict[str, tuning.TuningResult]:
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _TUNED:
+        folded = materialize(split.assign_folds(_prepared(spark, folder)[0], TUNING.folds))
+        _TUNED[key] = tuning.tune_models(training.spread(folded), TUNING)
+    return _TUNED[key]
+
+
+def _outside(scored: DataFrame, cut: float = 0.5) -> DataFrame:
+    """Rows, and those whose score is outside [0, 1] or whose label misses the cut."""
+    good = F.col("score").between(0, 1) & (
+        F.col("y_pred") == F.when(F.col("score") >= cut, 1).otherwise(0))
+    return scored.agg(F.count("*").alias("n_holdout"),
+                      F.count_if(~F.coalesce(good, F.lit(False))).alias("n_outside"))
+
+
+def _tree_report(spark, folder, name) -> DataFrame:
+    """Size of a fitted ensemble, whether its importances sum to 1, and its holdout rows."""
+    train, holdout = _prepared(spark, folder)
+    model = _fitted(spark, folder, name)
+    total = float(model.stages[-1].featureImportances.toArray().sum())
+    return _outside(score.predict_risk(model, holdout)).select(
+        F.lit(train.count()).alias("n_train"), "n_holdout", "n_outside",
+        F.lit(model.stages[-1].getNumTrees).alias("n_trees"), F.lit(total).alias("importances"),
+    )
+
+
+def _in_order(top: DataFrame, value: str, names: list[str]) -> DataFrame:
+    """Per place of a ranked table: whether it is in order and names a feature."""
+    rows = top.collect()
+    return top.sparkSession.createDataFrame([
+        (i, i == 0 or rows[i - 1][value] >= r[value], r["feature"] in names)
+        for i, r in enumerate(rows)
+    ], "place int, in_order boolean, known boolean")
 
 
 @query
@@ -890,22 +930,35 @@ def ml_class_weights(spark, folder):
 
 @query
 def ml_logistic_regression(spark, folder):
-    return _holdout_report(spark, folder, _fitted(spark, folder))
+    """Whether the fit is at its optimum, by the gradient over all training rows."""
+    train, holdout = _prepared(spark, folder)
+    model = _fitted(spark, folder)
+    encoded = PipelineModel(model.stages[:-1]).transform(train).select("label", "features")
+    found = models.logistic_certificate(model.stages[-1], materialize(encoded)).first()
+    return _outside(score.predict_risk(model, holdout)).select(
+        F.lit(found["n_rows"]).alias("n_train"), "n_holdout", "n_outside",
+        F.lit(found["optimal"]).alias("optimal"),
+    )
 
 
 @query
 def ml_random_forest(spark, folder):
-    return _holdout_report(spark, folder, _fitted(spark, folder, "RandomForest", _SMALL_FOREST))
+    return _tree_report(spark, folder, "RandomForest")
 
 
 @query
 def ml_boosted_trees(spark, folder):
-    return _holdout_report(spark, folder, _fitted(spark, folder, "BoostedTrees", _SMALL_BOOST))
+    return _tree_report(spark, folder, "BoostedTrees")
 
 
 @query
 def ml_predict_risk(spark, folder):
-    return score.predict_risk(_fitted(spark, folder), view.encounters(spark, folder), 0.5)
+    scored = score.predict_risk(_fitted(spark, folder), view.encounters(spark, folder), 0.5)
+    flagged = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return scored.select(
+        "encounter_id", "race", F.col("score").between(0, 1).alias("in_range"),
+        (F.col("y_pred") == flagged).alias("agrees"),
+    )
 
 
 @query
@@ -931,11 +984,7 @@ def ml_score_spellings(spark, folder):
 @query
 def ml_models_scored(spark, folder):
     """Holdout rows each model scores; none outside [0, 1], none without a label."""
-    fitted = {
-        "LogReg": _fitted(spark, folder),
-        "RandomForest": _fitted(spark, folder, "RandomForest", _SMALL_FOREST),
-        "BoostedTrees": _fitted(spark, folder, "BoostedTrees", _SMALL_BOOST),
-    }
+    fitted = {name: _fitted(spark, folder, name) for name in models.MODELS}
     scored = [
         score.predict_risk(model, _prepared(spark, folder)[1]).withColumn("model", F.lit(name))
         for name, model in fitted.items()
@@ -948,7 +997,8 @@ def ml_models_scored(spark, folder):
 
 @query
 def ml_example_record(spark, folder):
-    return score.predict_risk(_fitted(spark, folder), source.example_record(spark))
+    scored = score.predict_risk(_fitted(spark, folder), source.example_record(spark))
+    return _outside(scored).withColumnRenamed("n_holdout", "n_rows")
 
 
 @query
@@ -968,53 +1018,106 @@ def ml_save_load(spark, folder):
 
 @query
 def ml_top_coefficients(spark, folder):
-    return explain.logistic_coefficients(_fitted(spark, folder))
+    model = _fitted(spark, folder)
+    names = explain.pipeline_feature_names(model)
+    return _in_order(explain.logistic_coefficients(model), "abs_coef", names)
 
 
 @query
 def ml_top_importances(spark, folder):
-    return explain.feature_importance_or_coef(
-        _fitted(spark, folder, "RandomForest", _SMALL_FOREST)
-    )
+    model = _fitted(spark, folder, "RandomForest")
+    names = explain.pipeline_feature_names(model)
+    return _in_order(explain.feature_importance_or_coef(model), "score", names)
 
 
 @query
 def ml_permutation_importance(spark, folder):
-    return explain.permutation_importance(
-        _fitted(spark, folder), _prepared(spark, folder)[1],
-        ["number_inpatient", "time_in_hospital", "age"],
+    """Every input of the model, five permutations each."""
+    model, holdout = _fitted(spark, folder), _prepared(spark, folder)[1]
+    found = explain.permutation_importance(model, holdout)
+    area = metrics.ranking_areas(score.predict_risk(model, holdout)).first()["auc_pr"]
+    return found.select(
+        "feature", (F.abs(F.col("auc_pr") - area) < 1e-9).alias("same_base"),
+        (F.abs(F.col("auc_pr") - F.col("auc_pr_permuted") - F.col("importance")) < 1e-9)
+        .alias("is_drop"), (F.col("deviation") >= 0).alias("has_deviation"),
     )
 
 
-_SMALL_GRIDS = {
-    "LogReg": {"C": [0.01, 1.0]},
-    "RandomForest": {"n_estimators": [10], "max_depth": [4]},
-}
-
-
 @query
 def ml_tune_models(spark, folder):
-    train = split.assign_folds(_prepared(spark, folder)[0], 3)
-    config = RunConfig(folds=3, grids=_SMALL_GRIDS)
-    results = tuning.tune_models(training.spread(materialize(train)), config)
-    return tuning.summarize_tuning(spark, results).drop("duration_s")
+    """Per model: points, scored rows, and whether the best point has the best mean."""
+    rows = []
+    for name, found in _tuned(spark, folder).items():
+        means = [sum(p["folds"].values()) / len(p["folds"]) for p in found.grid_scores]
+        best = found.grid_scores[means.index(max(means))]["params"]
+        rows.append((name, len(means), found.n_folds, found.scores.count(),
+                     found.out_of_fold.count(), best == found.best_params))
+    return spark.createDataFrame(
+        rows, "model string, n_points int, n_folds int, n_scores long, n_out_of_fold long, "
+        "best_is_best boolean")
+
+
+@query
+def ml_cv_results(spark, folder):
+    """The score store, point by point and fold by fold, with the areas ranked once more."""
+    results = _tuned(spark, folder)
+    stored = reduce(DataFrame.unionByName, [r.scores for r in results.values()])
+    per_score = stored.groupBy("model", "point", "fold", "score").agg(
+        F.count("*").alias("n"), F.sum("label").alias("pos"))
+    ranked = W.partitionBy("model", "point", "fold").orderBy(F.desc("score"))
+    ranked = per_score.withColumns({
+        "tp": F.sum("pos").over(ranked), "seen": F.sum("n").over(ranked)})
+    again = ranked.groupBy("model", "point", "fold").agg(
+        F.sum("n").alias("n_rows"), F.sum("pos").alias("n_pos"),
+        (F.sum(F.col("pos") * F.col("tp") / F.col("seen")) / F.sum("pos")).alias("area"))
+    places = spark.createDataFrame([
+        (name, p["place"], str(p["params"]), int(fold), value)
+        for name, r in results.items() for p in r.grid_scores for fold, value in p["folds"].items()
+    ], "model string, point int, params string, fold int, found double")
+    return again.join(places, ["model", "point", "fold"]).select(
+        "model", "params", "fold", "n_rows", "n_pos",
+        (F.abs(F.col("area") - F.col("found")) < 1e-9).alias("same_area"))
+
+
+@query
+def ml_select_best(spark, folder):
+    """The model with the best cross-validated score comes first, and is the one chosen."""
+    results = _tuned(spark, folder)
+    table = [r.asDict() for r in tuning.summarize_tuning(spark, results).collect()]
+    chosen = tuning.select_best_model(results).model_name
+    return spark.createDataFrame([
+        (i, i == 0 or table[i - 1]["score_cv"] >= r["score_cv"], (r["model"] == chosen) == (i == 0))
+        for i, r in enumerate(table)
+    ], "place int, in_order boolean, chosen_first boolean")
 
 
 @query
 def ml_ablation(spark, folder):
     train, holdout = _prepared(spark, folder)
-    return training.ablation(train, holdout, {
+    table = training.ablation(train, holdout, {
         "LogReg": ("LogReg", {}, None), "LogReg balanced": ("LogReg", {}, "balanced"),
-        "RandomForest balanced": ("RandomForest", _SMALL_FOREST, "balanced"),
+        "RandomForest balanced": ("RandomForest", FOREST, "balanced"),
     })
+    measures = ("auc_pr", "auc_roc", "threshold", "recall", "precision")
+    good = reduce(and_, [F.col(c).between(0, 1) for c in measures])
+    return table.select("configuration", good.alias("in_range"))
+
+
+def _groups_scored(model: PipelineModel, holdout: DataFrame, attributes: list[str]) -> DataFrame:
+    """Rows and base rate per group of the holdout, and features made from the attribute."""
+    names = explain.pipeline_feature_names(model)
+    used = {a: sum(n.startswith(f"{a}_") for n in names) for a in attributes}
+    report = fairness.fairness_report(score.predict_risk(model, holdout), attributes)
+    counts = F.create_map(*[F.lit(x) for pair in used.items() for x in pair])
+    return report.select("attribute", "value", "count", "base_rate",
+                         (F.element_at(counts, F.col("attribute")) > 0).alias("is_input"))
 
 
 @query
 def ml_exclude_protected(spark, folder):
     train, holdout = _prepared(spark, folder)
     model = models.fit_pipeline(train, exclude=("race", "age"))
-    scored = score.predict_risk(model, holdout)
-    return fairness.aggregate_fairness_metrics(scored, ["race", "age"])
+    return _groups_scored(model, holdout, ["race", "age"])
 
 
 @query
@@ -1029,28 +1132,44 @@ def ml_reweighted(spark, folder):
     )
     classifier = models.fit_classifier(encoded, models.MODELS["LogReg"], weight="row_weight")
     model = models.scoring_pipeline(models.input_schema(train), features, encoder, classifier)
-    scored = score.predict_risk(model, holdout)
-    return fairness.aggregate_fairness_metrics(scored, ["race"])
+    return _groups_scored(model, holdout, ["race"])
 
 
 @query
 def ml_calibrated(spark, folder):
-    train, holdout = _prepared(spark, folder)
-    folded = materialize(split.assign_folds(train, 3))
-    config = RunConfig(folds=3, models=("LogReg",), grids=dict(QUICK_GRIDS))
-    found = tuning.tune_models(folded, config)["LogReg"]
+    """Isotonic fit on out-of-fold scores: it keeps their mean, and never falls."""
+    found = _tuned(spark, folder)["LogReg"]
     isotonic = calibrate.fit_calibration(found.out_of_fold)
-    scored = calibrate.calibrated(isotonic, score.predict_risk(found.model, holdout))
-    return metrics.reliability_table(scored, "calibrated", bins=5)
+    shift = calibrate.calibrated(isotonic, found.out_of_fold).agg(
+        F.avg("calibrated") - F.avg("label")).first()[0]
+    scored = calibrate.calibrated(
+        isotonic, score.predict_risk(found.model, _prepared(spark, folder)[1]))
+    # One row per bin of scores reaches the window, 50 at most.
+    bins = scored.groupBy(F.floor(F.col("score") * 50).alias("bin")).agg(
+        F.count("*").alias("n"), F.min("calibrated").alias("low"), F.max("calibrated").alias("high"))
+    falls = F.col("low") < F.lag("high").over(W.orderBy("bin"))
+    return bins.withColumn("falls", falls).agg(
+        F.sum("n").alias("n_holdout"), F.count_if("falls").alias("n_falls"),
+        F.lit(abs(shift) < 1e-9).alias("mean_kept"),
+    )
 
 
 @query
 def ml_training_run(spark, folder):
+    """The quick run of both models: counts and point metrics of its holdout table."""
     raw = view.encounters(spark, folder).drop("admitted", "charge")
-    config = replace(RunConfig(), folds=2, models=("LogReg",), grids=dict(QUICK_GRIDS))
-    result = training.run_training(spark, raw, scratch_path(spark, "run"), config)
-    return spark.read.schema(result["holdout_metrics"].schema).json(
-        result["paths"]["holdout_metrics"]
+    result = training.run_training(
+        spark, raw, scratch_path(spark, "run"), RunConfig(), quick=True)
+    table = spark.read.schema(result["holdout_metrics"].schema).json(
+        result["paths"]["holdout_metrics"])
+    recall = metrics.ratio(F.col("tp"), F.col("tp") + F.col("fn"))
+    precision = metrics.ratio(F.col("tp"), F.col("tp") + F.col("fp"))
+    kind = F.when(F.col("model").endswith("_optimal_threshold"), "optimal").otherwise(F.col("model"))
+    return table.select(
+        kind.alias("kind"), (F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")).alias("n"),
+        (F.col("tp") + F.col("fn")).alias("n_pos"),
+        ((F.abs(F.col("recall") - recall) < 1e-9) & (F.abs(F.col("precision") - precision) < 1e-9))
+        .alias("from_counts"),
     )
 
 

@@ -712,6 +712,74 @@ def _fairness_sql(cuts: list[float]) -> dict[str, str]:
     }
 
 
+def _model_sql() -> dict[str, str]:
+    """What is certain about fitted models: rows, sizes, order, and sums of labels."""
+    from wardlight.plans import catalog
+
+    rows = f"""{_VIEWS}, usable AS (
+        SELECT *, {_side('patient_nbr')} AS split FROM enc
+        WHERE discharge_disposition_id NOT IN (11, 13, 14, 19, 20, 21)),
+      sizes AS (SELECT count(*) FILTER (split = 'train') AS n_train,
+        count(*) FILTER (split = 'test') AS n_holdout, CAST(0 AS BIGINT) AS n_outside,
+        CAST(sum(label) FILTER (split = 'test') AS BIGINT) AS n_pos FROM usable),
+      g AS (SELECT patient_nbr, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS n_pos
+        FROM usable WHERE split = 'train' GROUP BY 1),
+      folds AS (SELECT patient_nbr, (row_number() OVER (PARTITION BY n_rows, n_pos
+        ORDER BY {_digest('patient_nbr')}, patient_nbr) + n_rows + n_pos)
+        % {catalog.TUNING.folds} AS fold FROM g)"""
+    grid = catalog.TUNING.grids
+    points = [(m, str(p)) for m in catalog.TUNING.models for p in catalog.tuning.grid_points(grid[m])]
+    listed = ", ".join("('{}', '{}')".format(m, p.replace("'", "''")) for m, p in points)
+    per_model = ", ".join(f"('{m}', {sum(n == m for n, _ in points)})" for m in catalog.TUNING.models)
+
+    def trees(n: int) -> str:
+        return f"""{rows} SELECT n_train, n_holdout, n_outside, CAST({n} AS BIGINT) AS n_trees,
+          CAST(1 AS DOUBLE) AS importances FROM sizes"""
+
+    top = "SELECT CAST(unnest(range(20)) AS BIGINT) AS place, TRUE AS in_order, TRUE AS known"
+
+    def groups(attributes: dict[str, str]) -> str:
+        return rows + _unions([
+            f"""SELECT '{a}' AS attribute, coalesce({a}, 'Unknown') AS value, count(*) AS count,
+              round(avg(label), 6) AS base_rate, {is_input} AS is_input
+            FROM usable WHERE split = 'test' GROUP BY ALL""" for a, is_input in attributes.items()])
+
+    unused = ("encounter_id, patient_nbr, readmitted, label, weight, payer_code, examide, "
+              "citoglipton, admitted, charge, score, priority, next_admitted")
+    return {
+        "ml_logistic_regression":
+            f"{rows} SELECT n_train, n_holdout, n_outside, TRUE AS optimal FROM sizes",
+        "ml_random_forest": trees(catalog.FOREST["n_estimators"]),
+        "ml_boosted_trees": trees(catalog.BOOST["n_estimators"]),
+        "ml_predict_risk": f"""{_VIEWS} SELECT encounter_id, race, TRUE AS in_range,
+          TRUE AS agrees FROM enc""",
+        "ml_example_record": "SELECT CAST(1 AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_outside",
+        "ml_top_coefficients": top, "ml_top_importances": top,
+        "ml_permutation_importance": f"""{rows}, names AS (
+            SELECT column_name AS feature FROM (DESCRIBE SELECT * FROM usable))
+          SELECT feature, TRUE AS same_base, TRUE AS is_drop, TRUE AS has_deviation FROM names
+          WHERE feature NOT IN ({", ".join(f"'{c.strip()}'" for c in unused.split(","))}, 'split')""",
+        "ml_tune_models": f"""{rows} SELECT model, n_points,
+            CAST({catalog.TUNING.folds} AS BIGINT) AS n_folds, n_points * n_train AS n_scores,
+            n_train AS n_out_of_fold, TRUE AS best_is_best
+          FROM sizes, (VALUES {per_model}) m(model, n_points)""",
+        "ml_cv_results": f"""{rows} SELECT model, params, fold, count(*) AS n_rows,
+            CAST(sum(label) AS BIGINT) AS n_pos, TRUE AS same_area
+          FROM usable JOIN folds USING (patient_nbr), (VALUES {listed}) p(model, params)
+          GROUP BY model, params, fold""",
+        "ml_select_best": f"""SELECT CAST(unnest(range({len(catalog.TUNING.models)})) AS BIGINT)
+          AS place, TRUE AS in_order, TRUE AS chosen_first""",
+        "ml_ablation": """SELECT configuration, TRUE AS in_range FROM (VALUES ('LogReg'),
+          ('LogReg balanced'), ('RandomForest balanced')) c(configuration)""",
+        "ml_exclude_protected": groups({"race": "FALSE", "age": "FALSE"}),
+        "ml_reweighted": groups({"race": "TRUE"}),
+        "ml_calibrated": f"""{rows} SELECT n_holdout, CAST(0 AS BIGINT) AS n_falls,
+          TRUE AS mean_kept FROM sizes""",
+        "ml_training_run": f"""{rows} SELECT kind, n_holdout AS n, n_pos, TRUE AS from_counts
+          FROM sizes, (VALUES ('LogReg'), ('RandomForest'), ('optimal')) k(kind)""",
+    }
+
+
 def _stream_sql() -> dict[str, str]:
     start = "CAST(epoch(admitted) AS BIGINT) // 2592000"
     closed = f"""w AS (SELECT *, {start} AS slot FROM scored),
@@ -745,5 +813,5 @@ def statements() -> dict[str, str]:
     cuts = threshold_grid(200)
     return (
         _source_sql() | _feature_sql() | _encoder_sql() | _profile_sql() | _split_sql()
-        | _metric_sql(cuts) | _fairness_sql(cuts) | _stream_sql()
+        | _metric_sql(cuts) | _fairness_sql(cuts) | _model_sql() | _stream_sql()
     )
