@@ -106,8 +106,74 @@ def test_stream_scores_equal_batch_and_resent_records_count_once(spark, folder,
     scoring.start_prediction_log(
         scored, str(tmp_path / "log"), str(tmp_path / "state")
     ).awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "log"))
+    got = scoring.read_prediction_log(spark, str(tmp_path / "log"))
     want = predict_risk(model, records).select("encounter_id", F.col("score").alias("s2"))
     both = got.join(want, "encounter_id")
     assert got.count() == want.count() == both.count()
     assert both.where("score <> s2").count() == 0
+
+
+def test_a_replayed_batch_is_logged_once(spark, scored, tmp_path):
+    """The log of a stream whose last batch runs twice, and its files per day."""
+    import shutil
+
+    dated = scored.withColumn("score_date", F.to_date("ts"))
+    log, state = tmp_path / "log", tmp_path / "state"
+    live = lambda: stream(spark, dated, tmp_path / "in")
+    scoring.start_prediction_log(live(), str(log), str(state)).awaitTermination()
+    before = shown(scoring.read_prediction_log(spark, str(log)).select(*dated.columns))
+    assert before == shown(dated)
+    last = max(int(p.name) for p in (state / "commits").iterdir() if p.name.isdigit())
+    for p in (state / "commits").iterdir():  # as if the driver died before the commit
+        if str(last) in p.name:
+            p.unlink()
+    again = (
+        spark.readStream.schema(dated.schema).option("maxFilesPerTrigger", 1)
+        .parquet(f"{tmp_path / 'in'}/*")
+    )
+    scoring.start_prediction_log(again, str(log), str(state)).awaitTermination()
+    assert shown(scoring.read_prediction_log(spark, str(log)).select(*dated.columns)) == before
+    days = dated.select("score_date").distinct().count()
+    assert len(list(log.glob("batch=*/score_date=*/*.parquet"))) <= days + last + 1
+    shutil.rmtree(log)
+
+
+def exact_ks(old, new):
+    points = sorted({*old, *new})
+    share = lambda side, x: sum(v <= x for v in side) / len(side)
+    return max(abs(share(old, x) - share(new, x)) for x in points)
+
+
+@pytest.mark.parametrize("size", [4_000, 64])
+def test_drift_of_windows(spark, scored, tmp_path, size):
+    """Streamed sketches against exact distances, within the stated bound."""
+    table = scored.withColumns({
+        "value": F.when(F.col("encounter_id") % 17 != 0, F.col("score") + F.col("encounter_id") / 900),
+        "kind": (F.col("label") + F.col("y_pred")).cast("int")})
+    reference = table.where("encounter_id < 150")
+    sketches = monitor.reference_sketches(reference, ["value", "kind"], size).collect()
+    live = monitor.drift_windows(
+        stream(spark, table, tmp_path / "in"), ["value", "kind"], window="60 days", size=size)
+    monitor.start_drift_log(
+        live, sketches, str(tmp_path / "drift"), str(tmp_path / "state"), size=size
+    ).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "drift")).collect()
+    rows = table.collect()
+    assert len(got) >= 4
+    alerts = set()
+    for r in got:
+        c, start = r["column_name"], r["window_start"]
+        inside = [x[c] for x in rows if x[c] is not None
+                  and 0 <= (x["ts"] - start).total_seconds() < 60 * 86400]
+        old = [x[c] for x in rows if x[c] is not None and x["encounter_id"] < 150]
+        want = exact_ks(old, inside)
+        assert r["n"] == len(inside)
+        assert abs(r["ks"] - want) <= r["bound"] + 1e-9
+        if r["sure"]:
+            assert r["alert"] == (want > 0.15)
+        alerts.add((r["alert"], r["sure"]))
+    assert (1, True) in alerts
+    if size == 4_000:
+        assert all(r["bound"] == 0 for r in got)
+    with pytest.raises(ValueError):
+        monitor.window_drift(spark.createDataFrame(got), [])

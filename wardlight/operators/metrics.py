@@ -138,9 +138,9 @@ def classification_metrics(
     ranked = ranked_scores(scored, score, label, groups, flagged, rows_per_range)
     counted = ranked.groupBy(*groups).agg(
         *[c.alias(k) for k, c in _area_columns().items()],
-        F.sum("hit").alias("tp"), F.sum("alarm").alias("fp"),
-        F.sum(F.col("neg") - F.col("alarm")).alias("tn"),
-        F.sum(F.col("pos") - F.col("hit")).alias("fn"),
+        *[F.coalesce(F.sum(n), F.lit(0)).alias(c) for c, n in {
+            "tp": F.col("hit"), "fp": F.col("alarm"), "tn": F.col("neg") - F.col("alarm"),
+            "fn": F.col("pos") - F.col("hit")}.items()],
     )
     return point_metrics(counted).select(
         *groups, "auc_roc", "auc_pr", "recall", "precision", "f1", "f2",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
@@ -164,21 +164,63 @@ def describe_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(entries.alias("entries")).select(F.inline("entries"))
 
 
+# Parts of a packed key: ids take 64 bits and one value for NULL, times 59 bits.
+_ID_OFFSET, _TIME_OFFSET, _ID_SPAN = (1 << 63) + 1, (1 << 58) + 1, 1 << 65
+_WIDE = T.DecimalType(38, 0)
+
+
+def _wide(value: int | Column) -> Column:
+    return (F.lit(str(value)) if isinstance(value, int) else value).cast(_WIDE)
+
+
+def packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """(id) or (time, id) as one whole number that sorts alike; None for other types.
+
+    A number is a fixed-size aggregation buffer, so its minimum is a hash aggregate
+    where that of a struct needs sorted rows. NULL comes first, as in Spark's sort.
+    """
+    kinds = [df.schema[c].dataType for c in order]
+    if not order or len(order) > 2 or not isinstance(kinds[-1], T.IntegralType):
+        return None
+    key = F.coalesce(_wide(quoted(order[-1])) + _wide(_ID_OFFSET), _wide(0))
+    if len(order) == 2:
+        if not isinstance(kinds[0], (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            return None
+        time = _wide(F.unix_micros(quoted(order[0]).cast("timestamp"))) + _wide(_TIME_OFFSET)
+        key = key + F.coalesce(time, _wide(0)) * _wide(_ID_SPAN)
+    return key
+
+
 def edge_encounters(
     df: DataFrame, which: str = "first", patient: str = PATIENT_ID,
     order: Sequence[str] = ("encounter_id",),
 ) -> DataFrame:
     """The first or last encounter of every patient.
 
-    An aggregate instead of a row number: map tasks send one row per patient,
-    so a patient with very many encounters is no hot task.
+    An aggregate instead of a row number: map tasks send one packed key per patient,
+    so a patient with very many encounters is no hot task, and the rows are joined back
+    by that key. ``order`` must tell a patient's rows apart: rows that share the chosen
+    key all stay. With other types than times and whole numbers, whole rows are
+    aggregated. Rows without a patient are a patient each.
     """
-    pick = {"first": F.min_by, "last": F.max_by}[which]
-    whole = F.struct(*[quoted(c) for c in df.columns])
-    known = df.where(F.col(patient).isNotNull())
-    chosen = known.groupBy(patient).agg(pick(whole, F.struct(*order)).alias("row"))
-    # Rows without a patient are a patient each.
-    return chosen.select("row.*").unionByName(df.where(F.col(patient).isNull()))
+    key = packed_order(df, order)
+    if key is None:
+        pick = {"first": F.min_by, "last": F.max_by}[which]
+        whole = F.struct(*[quoted(c) for c in df.columns])
+        known = df.where(F.col(patient).isNotNull())
+        chosen = known.groupBy(patient).agg(pick(whole, F.struct(*order)).alias("row"))
+        return chosen.select("row.*").unionByName(df.where(F.col(patient).isNull()))
+    pick = {"first": F.min, "last": F.max}[which]
+    keyed = df.withColumn("__key", key)
+    chosen = (
+        keyed.where(F.col(patient).isNotNull()).groupBy(F.col(patient).alias("__of"))
+        .agg(pick("__key").alias("__edge"))
+    )
+    alone = F.col(patient).isNull()
+    match = (F.col(patient) == F.col("__of")) & (F.col("__key") == F.col("__edge"))
+    # One pass over the rows: those without a patient meet nobody and stay.
+    joined = keyed.join(chosen, match, "left")
+    return joined.where(alone | F.col("__edge").isNotNull()).select(*map(quoted, df.columns))
 
 
 def first_versus_later(
@@ -188,9 +230,17 @@ def first_versus_later(
     """Rows, positives and rate of first encounters and of later ones."""
     # Rows without a patient are a patient each, told apart by the order.
     alone = F.when(F.col(patient).isNull(), F.struct(*order)).alias("alone")
+    outcome, key = F.col(label).cast("long"), packed_order(df, order)
+    if key is None:
+        first = F.min_by(outcome, F.struct(*order))
+    else:
+        # The label rides on the key's last digit: 0 for NULL, else the label and 1.
+        digit = F.coalesce(_wide(outcome + 1), _wide(0))
+        packed = F.min(key * _wide(4) + digit)
+        digit = F.pmod(packed, _wide(4)).cast("long")
+        first = F.when(digit > 0, digit - 1)
     per_patient = df.groupBy(patient, alone).agg(
-        F.count("*").alias("n"), F.sum(F.col(label).cast("long")).alias("p"),
-        F.min_by(F.col(label).cast("long"), F.struct(*order)).alias("p1"),
+        F.count("*").alias("n"), F.sum(outcome).alias("p"), first.alias("p1"),
     )
     parts = F.array(
         F.struct(F.lit("first").alias("visit"), F.lit(1).cast("long").alias("n"),
@@ -216,13 +266,19 @@ def derive_readmission(
     join back to the rows is an equi-join that AQE can split.
     """
     dated = visits.withColumn("__day", F.to_date(date))
-    last = F.max(F.struct(F.col(date), F.col(encounter)))
+    key = packed_order(visits, (date, encounter))
+    if key is None:
+        last = F.max(F.struct(F.col(date), F.col(encounter))).getField(encounter)
+    else:
+        # The id is the lower part of the day's greatest key.
+        last = (F.pmod(F.max(key), _wide(_ID_SPAN)) - _wide(_ID_OFFSET)).cast(
+            visits.schema[encounter].dataType)
     # A NULL patient has no known next stay and meets nobody in the join below.
-    per_day = dated.where(F.col(patient).isNotNull()).groupBy(patient, "__day").agg(last.alias("__last"))
+    per_day = dated.where(F.col(patient).isNotNull()).groupBy(patient, "__day").agg(
+        last.alias("__last_id"))
     following = F.lead("__day").over(W.partitionBy(patient).orderBy("__day"))
     per_day = per_day.select(
-        patient, "__day", F.col(f"__last.{encounter}").alias("__last_id"),
-        F.datediff(following, F.col("__day")).alias("__gap"),
+        patient, "__day", "__last_id", F.datediff(following, F.col("__day")).alias("__gap"),
     )
     joined = dated.join(per_day, [patient, "__day"], "left")
     gap = F.when(F.col(encounter) != F.col("__last_id"), F.lit(0)).otherwise(F.col("__gap"))

@@ -44,12 +44,16 @@ def exact_group_split(
 ) -> DataFrame:
     """Tag rows so that exactly ``ceil(test_size * groups)`` groups are in test.
 
-    The groups with the smallest hashes are taken. A histogram of hash
+    The groups with the smallest hashes are taken; rows without a group are in train and
+    count as none. A histogram of hash
     prefixes (at most 65,536 rows) finds the prefix the cut falls in, and only
     the groups of that prefix are ranked.
     """
     # partial distinct first: a group that holds a third of the rows is one row
-    known = df.select(group).distinct().withColumn("__hash", seeded_hash(group, seed))
+    known = (
+        df.select(group).where(F.col(group).isNotNull()).distinct()
+        .withColumn("__hash", seeded_hash(group, seed))
+    )
     prefix = F.substring("__hash", 1, 4)
     histogram = (
         known.groupBy(prefix.alias("prefix")).agg(F.count("*").alias("n"))
@@ -122,19 +126,23 @@ def assign_folds(
 def leaking_groups(
     df: DataFrame, group: str = PATIENT_ID, side: str = "split"
 ) -> DataFrame:
-    """Groups that occur on more than one side, with their number of sides."""
+    """Groups that occur on more than one side, with their number of sides.
+
+    Rows without a group are no group.
+    """
     return (
-        df.groupBy(group).agg(F.count_distinct(side).alias("n_sides"))
+        df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count_distinct(side).alias("n_sides"))
         .where(F.col("n_sides") > 1)
     )
 
 
 def shared_groups(left: DataFrame, right: DataFrame, group: str = PATIENT_ID) -> DataFrame:
-    """Groups present in both tables (set intersection).
+    """Groups present in both tables (set intersection), NULL left out.
 
     Each side is made distinct first, which map tasks do before the shuffle.
     """
-    return left.select(group).distinct().intersect(right.select(group).distinct())
+    known = lambda df: df.select(group).where(F.col(group).isNotNull()).distinct()
+    return known(left).intersect(known(right))
 
 
 def assert_no_group_leakage(

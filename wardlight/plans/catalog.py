@@ -73,12 +73,6 @@ def all_queries() -> dict[str, Query]:
 
 # --- sources and sinks ------------------------------------------------------
 
-RECORD = [
-    "encounter_id", "race", "age", "gender", "medical_specialty", "diag_1", "diag_2", "diag_3",
-    "A1Cresult", "max_glu_serum", "num_medications", "number_inpatient", "insulin", "readmitted",
-]
-
-
 def _as_file_table(spark: SparkSession, folder: str) -> DataFrame:
     """The raw view in the column order of the public file."""
     return source.align_to_schema(view.raw_encounters(spark, folder), source.ENCOUNTER_SCHEMA)
@@ -88,14 +82,14 @@ def _as_file_table(spark: SparkSession, folder: str) -> DataFrame:
 def source_encounters_csv(spark, folder):
     path = scratch_path(spark, "encounters-csv")
     _as_file_table(spark, folder).write.option("header", True).csv(path)
-    return source.load_encounters(spark, path).select(*RECORD)
+    return source.load_encounters(spark, path)
 
 
 @query
 def source_json_records(spark, folder):
     path = scratch_path(spark, "encounters-json")
     _as_file_table(spark, folder).write.json(path)
-    return source.load_records(spark, path).select(*RECORD)
+    return source.load_records(spark, path)
 
 
 @query
@@ -579,6 +573,38 @@ def split_shared_groups(spark, folder):
     )
 
 
+def _some_unknown(spark, folder):
+    """Stays of which every eleventh has no patient."""
+    known = F.when(F.col("encounter_id") % 11 != 0, F.col(PATIENT_ID))
+    return view.visits(spark, folder).withColumn(PATIENT_ID, known)
+
+
+@query
+def split_exact_unknown(spark, folder):
+    """Rows without a patient are in train, and no group of their own."""
+    return split.exact_group_split(_some_unknown(spark, folder)).select(
+        "encounter_id", PATIENT_ID, "split")
+
+
+@query
+def split_shared_unknown(spark, folder):
+    """Groups on both sides of a year, and groups on both sides of a split by row."""
+    stays = _some_unknown(spark, folder)
+    year = F.to_date("admitted") < F.lit("1997-01-01").cast("date")
+    shared = split.shared_groups(stays.where(year), stays.where(~year))
+    sided = stays.withColumn("split", F.when(F.col("encounter_id") % 3 == 0, "test").otherwise("train"))
+    return shared.withColumn("kind", F.lit("shared")).unionByName(
+        split.leaking_groups(sided).select(PATIENT_ID, F.lit("leaking").alias("kind")))
+
+
+@query
+def sample_first_unknown(spark, folder):
+    """Rows without a patient are a patient each."""
+    return profile.edge_encounters(
+        _some_unknown(spark, folder), order=("admitted", "encounter_id")
+    ).select("encounter_id", PATIENT_ID)
+
+
 @query
 def cv_group_folds(spark, folder):
     return split.group_folds(view.labelled_visits(spark, folder), group=PATIENT_ID)
@@ -1236,22 +1262,37 @@ def stream_fairness(spark, folder):
     )
 
 
+@query
+def stream_drift(spark, folder):
+    """Drift of each closed window against the stays before 1997, from sketches."""
+    stays = view.scored_visits(spark, folder).select(
+        F.col("admitted").cast("timestamp").alias("ts"), "charge", "num_procedures")
+    columns = ["charge", "num_procedures"]
+    reference = monitor.reference_sketches(stays.where("ts < '1997-01-01'"), columns).collect()
+    windows = monitor.drift_windows(_stream_of(spark, stays, "visits"), columns)
+    path = scratch_path(spark, "drift")
+    monitor.start_drift_log(
+        windows, reference, path, scratch_path(spark, "drift-state")
+    ).awaitTermination()
+    return spark.read.parquet(path).select(
+        F.unix_timestamp("window_start").alias("window_start"), "column_name", "n", "alert")
+
+
 @query
 def stream_prediction_log(spark, folder):
-    """Records sent twice are scored once and logged by day."""
+    """Records sent twice are scored once and logged by day, with the batch's scores."""
+    model = _fitted(spark, folder)
     records = view.encounters(spark, folder).withColumn(
         "discharged", F.col("admitted").cast("timestamp")
     )
-    stream = _stream_of(spark, records.unionByName(records), "records")
-    scored = scoring.score_stream(_fitted(spark, folder), stream)
+    scored = scoring.score_stream(model, _stream_of(spark, records.unionByName(records), "records"))
     path = scratch_path(spark, "prediction-log")
-    # one folder per month keeps the test's log small
-    monthly = scored.withColumn("score_date", F.date_format("score_date", "yyyy-MM"))
     scoring.start_prediction_log(
-        monthly, path, scratch_path(spark, "prediction-state")
+        scored, path, scratch_path(spark, "prediction-state")
     ).awaitTermination()
-    return spark.read.parquet(path).groupBy(
-        F.date_format("discharged", "yyyy-MM-dd").alias("score_date")
-    ).agg(F.count("*").alias("n"))
-
-
+    plain = score.predict_risk(model, records).select("encounter_id", F.col("score").alias("plain"))
+    logged = scoring.read_prediction_log(spark, path).join(plain, "encounter_id", "left")
+    return logged.groupBy(F.date_format("score_date", "yyyy-MM-dd").alias("score_date")).agg(
+        F.count("*").alias("n"), F.count_distinct("encounter_id").alias("n_records"),
+        F.count_if(~F.col("score").eqNullSafe(F.col("plain"))).alias("n_different"),
+    )

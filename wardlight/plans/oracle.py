@@ -342,8 +342,18 @@ def _feature_sql() -> dict[str, str]:
 
 def _source_sql() -> dict[str, str]:
     alive = "discharge_disposition_id NOT IN (11, 13, 14, 19, 20, 21)"
-    record = ("encounter_id, race, age, gender, medical_specialty, diag_1, diag_2, diag_3, "
-              '"A1Cresult", max_glu_serum, num_medications, number_inpatient, insulin, readmitted')
+    # The public file's columns; those that the tables have nothing for are NULL.
+    from wardlight.sources.encounters import CSV_COLUMNS
+
+    given = {"examide": "'No'", "citoglipton": "'No'", "weight": "NULL"}
+    of_enc = {"encounter_id", "patient_nbr", "race", "gender", "age", "admission_type_id",
+              "discharge_disposition_id", "admission_source_id", "time_in_hospital", "payer_code",
+              "medical_specialty", "num_lab_procedures", "num_procedures", "num_medications",
+              "number_outpatient", "number_emergency", "number_inpatient", "diag_1", "diag_2",
+              "diag_3", "number_diagnoses", "max_glu_serum", "A1Cresult", "change",
+              "diabetesMed", "readmitted", *_MEDS}
+    record = ", ".join(
+        _q(c) if c in of_enc else f"{given.get(c, 'NULL')} AS {_q(c)}" for c in CSV_COLUMNS)
     cleaned = ("encounter_id, patient_nbr, gender, admission_type_id, discharge_disposition_id, "
                "num_procedures, readmitted, label AS readmitted_30d")
     return {
@@ -506,6 +516,26 @@ def _split_sql() -> dict[str, str]:
         "split_shared_groups": f"""{_VIEWS}
           SELECT patient_nbr FROM stays WHERE admitted < TIMESTAMP '1997-01-01'
           INTERSECT SELECT patient_nbr FROM stays WHERE admitted >= TIMESTAMP '2000-01-01'""",
+        "split_exact_unknown": f"""{_VIEWS}, visits AS (SELECT encounter_id,
+            CASE WHEN encounter_id % 11 <> 0 THEN patient_nbr END AS patient_nbr FROM stays),
+          g AS (SELECT DISTINCT patient_nbr FROM visits WHERE patient_nbr IS NOT NULL),
+          r AS (SELECT patient_nbr, row_number() OVER (ORDER BY {_digest('patient_nbr')}, patient_nbr)
+            AS place, count(*) OVER () AS n FROM g)
+          SELECT encounter_id, patient_nbr,
+            CASE WHEN place <= ceil(0.2 * n) THEN 'test' ELSE 'train' END AS split
+          FROM visits LEFT JOIN r USING (patient_nbr)""",
+        "split_shared_unknown": f"""{_VIEWS}, visits AS (SELECT encounter_id, patient_nbr, admitted
+            FROM stays WHERE encounter_id % 11 <> 0)
+          SELECT patient_nbr, 'shared' AS kind FROM visits GROUP BY patient_nbr
+          HAVING count(*) FILTER (admitted < TIMESTAMP '1997-01-01') > 0
+            AND count(*) FILTER (admitted >= TIMESTAMP '1997-01-01') > 0
+          UNION ALL SELECT patient_nbr, 'leaking' FROM visits GROUP BY patient_nbr
+          HAVING count(DISTINCT encounter_id % 3 = 0) > 1""",
+        "sample_first_unknown": f"""{_VIEWS}, visits AS (SELECT encounter_id, admitted,
+            CASE WHEN encounter_id % 11 <> 0 THEN patient_nbr END AS patient_nbr FROM stays)
+          SELECT encounter_id, patient_nbr FROM visits WHERE patient_nbr IS NULL
+          UNION ALL (SELECT encounter_id, patient_nbr FROM visits WHERE patient_nbr IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY patient_nbr ORDER BY admitted, encounter_id) = 1)""",
         "cv_group_folds": f"""{_VIEWS} {folds} SELECT patient_nbr, n_rows, n_pos,
           CAST(fold AS BIGINT) AS fold FROM f""",
         "cv_assigned_folds": f"""{_VIEWS} {folds} SELECT fold, count(*) AS n_rows,
@@ -802,7 +832,29 @@ def _stream_sql() -> dict[str, str]:
             round(max(ppv) - min(ppv), 6) AS predictive_parity_gap, count(*) AS n_groups
           FROM x GROUP BY slot, attribute""",
         "stream_prediction_log": f"""{_VIEWS} SELECT strftime(admitted, '%Y-%m-%d') AS score_date,
-          count(*) AS n FROM stays GROUP BY 1""",
+          count(*) AS n, count(*) AS n_records, CAST(0 AS BIGINT) AS n_different
+          FROM stays GROUP BY 1""",
+        "stream_drift": f"""{_VIEWS}, {closed}, vals AS (
+            SELECT slot, admitted, 'charge' AS column_name, CAST(charge AS DOUBLE) AS value FROM w
+            UNION ALL SELECT slot, admitted, 'num_procedures', CAST(num_procedures AS DOUBLE) FROM w
+          ), windows AS (
+            SELECT slot, column_name, count(*) AS n FROM vals, m
+            WHERE (slot + 1) * 2592000 <= mark GROUP BY ALL
+          ), sides AS (
+            SELECT slot, column_name, value, 1 AS new FROM vals JOIN windows USING (slot, column_name)
+            UNION ALL SELECT windows.slot, column_name, value, 0 FROM vals
+              JOIN windows USING (column_name) WHERE admitted < TIMESTAMP '1997-01-01'
+          ), upto AS (
+            SELECT slot, column_name, value, sum(new) AS a, count(*) - sum(new) AS b
+            FROM sides GROUP BY ALL
+          ), ks AS (
+            SELECT slot, column_name, abs(sum(a) OVER (p ORDER BY value) / sum(a) OVER p
+              - sum(b) OVER (p ORDER BY value) / sum(b) OVER p) AS apart
+            FROM upto WINDOW p AS (PARTITION BY slot, column_name)
+          )
+          SELECT slot * 2592000 AS window_start, column_name, any_value(n) AS n,
+            CASE WHEN max(apart) > 0.15 THEN 1 ELSE 0 END AS alert
+          FROM ks JOIN windows USING (slot, column_name) GROUP BY slot, column_name""",
     }
 
 

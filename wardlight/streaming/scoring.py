@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,12 +27,23 @@ def score_stream(
 def start_prediction_log(
     scored: DataFrame, path: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Append the stream to a Parquet log, one folder per day.
+    """Append the stream to a Parquet log: a folder per batch, in it one per day.
 
+    A batch that is run again after a failure writes its own folder once more, so the
+    log holds each record once. Rows are rebalanced by day at run time: a quiet day is
+    one file of a batch, a busy one is written by several tasks.
     ``available_now`` handles what is there and stops; otherwise it runs on.
     """
-    writer = (
-        scored.writeStream.outputMode("append").format("parquet").partitionBy("score_date")
-        .option("path", path).option("checkpointLocation", checkpoint)
-    )
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.hint("rebalance", F.col("score_date")).write.mode("overwrite").partitionBy(
+            "score_date").parquet(f"{path}/batch={batch_id}")
+
+    writer = scored.writeStream.outputMode("append").foreachBatch(write).option(
+        "checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def read_prediction_log(spark: SparkSession, path: str) -> DataFrame:
+    """The log, with the day of each record."""
+    return spark.read.parquet(path).drop("batch")
