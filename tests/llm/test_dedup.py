@@ -50,7 +50,18 @@ def test_word_windows_equal_brute_force(make_docs, copies):
         assert row["kept_sha256"] == hashlib.sha256(kept.encode()).hexdigest()
 
 
-def test_bytes_equal_brute_force(make_docs, copies):
+@pytest.mark.parametrize("hot, bucket", [(suffix_dedup.HOT, suffix_dedup.BUCKET), (2, 5), (10**9, 7)])
+def test_bytes_equal_brute_force(make_docs, copies, monkeypatch, hot, bucket):
+    """With HOT at 2 most shared cores are dealt out by string."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "BUCKET", bucket)
+    rng = random.Random(17)
+    # one core between many different neighbours, and shared strings that begin before it
+    middle = "".join(rng.choice("abcdefgh ") for _ in range(120))
+    copies = copies + [
+        (1000 + i, "".join(rng.choice("xyz") for _ in range(rng.randrange(60))) + middle[
+            rng.randrange(0, 30):rng.randrange(95, 120)] + "".join(
+                rng.choice("uvw") for _ in range(rng.randrange(60)))) for i in range(150)]
     got = {r["doc_id"]: r for r in suffix_dedup.remove_repeats(
         make_docs(copies), with_kept=True).collect()}
     seen = set()

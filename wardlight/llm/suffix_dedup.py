@@ -4,21 +4,24 @@ A rolling hash of ``GRAM`` bytes picks the triggers: each string of ``SIZE`` byt
 led by the position of the least hash among its first ``REACH``. This depends on the
 string alone, so equal strings have their trigger at the same place. The starts that
 share a trigger form a phrase; its text runs to the end of its last string, so it
-holds as much of the following phrases as its strings reach. Strings are compared to
-a depth of ``SIZE`` only, so equality is all that is asked: no suffix array of the
-dictionary or of the parse is built and no suffix is ordered. Grouping phrases and
-strings by 128-bit hashes replaces them, in two parts:
+holds as much of the following phrases as its strings reach, and all that a
+depth of ``SIZE`` asks of the parse's order. The corpus order of the suffixes comes in two
+steps:
 
 - Dictionary: equal phrase texts are one entry, known by its first occurrence in the
   corpus (smallest doc_id, then start). All strings of any later occurrence are
-  repeats; this settles highly repetitive text without looking at its strings.
-- Entries that agree in the ``CORE`` bytes from their trigger on, but not as a whole,
-  may share some of their strings. Only their strings are grouped one by one, each
-  group with its earliest place in the corpus.
-
+  repeats; this settles highly repetitive text without looking at its suffixes.
+- Suffix array: entries that agree in the ``CORE`` bytes from their trigger on, but not as
+  a whole, may share some of their strings. Each sends its text once, to the bucket
+  of its core. There the suffixes that begin at one distance before the triggers are
+  sorted to the depth of ``SIZE``, ties by the entries' order in the parse; of equal
+  neighbours all but the first in the corpus are repeats.
+
+A core with more than ``HOT`` entries would be too much for one bucket: the strings of its
+entries are dealt out by 128-bit hash instead, one by one, behind a sketch.
 Cores that occur once cannot hold a repeat. A count-min sketch of the cores leaves
 them out before anything is shuffled; equal phrases of one batch are settled there.
-Strings are compared by 128 bits of hash.
+Phrases are compared by 128 bits of hash, suffixes byte by byte.
 
 Defined cases: NULL text is empty; texts below ``SIZE`` bytes keep everything; rows
 with a NULL doc_id have no place in the order, so nothing is removed from them or
@@ -29,7 +32,7 @@ starts are not earlier than each other.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +44,7 @@ from pyspark.sql import functions as F
 from wardlight.llm import sketch
 from wardlight.llm.common import row_tag, stored
 from wardlight.llm.substring_dedup import mix, packed_range, unpacked
+from wardlight.session import Scratch
 
 SIZE = 100
 GRAM = 8
@@ -48,6 +52,9 @@ REACH = 48
 CORE = SIZE - REACH + 1
 # Bytes a task works on at once.
 PIECE = 1_000_000
+# Entries of one core that a bucket takes, and entries of a bucket on the average.
+HOT = 20_000
+BUCKET = 30_000
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -206,31 +213,37 @@ def phrases(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     return docs.mapInArrow(probe, CANDIDATES)
 
 
-def _string_hashes(batch: pa.RecordBatch, shared: np.ndarray):
-    """The strings of a batch's dictionary entries whose core several entries share.
+def _entries(
+    batch: pa.RecordBatch, wanted: Callable[[np.ndarray], np.ndarray]
+) -> Iterator[tuple[Piece, np.ndarray]]:
+    """The batch's dictionary entries with a wanted core: pieces and phrase numbers.
 
-    Per piece: two hashes, row and start.
+    Later occurrences of an entry within the batch are settled: one stands for all.
     """
     known = ~np.asarray(batch.column("doc_id").is_null())
     ids = batch.column("doc_id").fill_null(0).to_numpy()
     held = []
     for k, piece in enumerate(_pieces(batch.column("text"))):
         core = piece.core()
-        pick = np.flatnonzero(sketch.maybe_repeated(shared, core) & known[piece.row])
+        pick = np.flatnonzero(wanted(core) & known[piece.row])
         held.append((core[pick], piece.phrase()[pick], ids[piece.row[pick]],
                      (piece.low - piece.begin)[pick], np.full(len(pick), k), pick))
     if not held:
         return
     core, phrase, docs, low, of_piece, pick = (np.concatenate(x) for x in zip(*held))
-    # Later occurrences of an entry within the batch are settled: one stands for all.
     order = np.lexsort((low, docs, phrase, core))
     new = np.ones(len(order), bool)
     new[1:] = (core[order][1:] != core[order][:-1]) | (phrase[order][1:] != phrase[order][:-1])
     chosen = order[new]
     for k, piece in enumerate(_pieces(batch.column("text"))):
         mine = np.sort(pick[chosen[of_piece[chosen] == k]])
-        if not len(mine):
-            continue
+        if len(mine):
+            yield piece, mine
+
+
+def _string_hashes(batch: pa.RecordBatch, wanted: Callable[[np.ndarray], np.ndarray]):
+    """The strings of the entries, per piece: two hashes, row and start."""
+    for piece, mine in _entries(batch, wanted):
         count = piece.high[mine] - piece.low[mine] + 1
         each = np.repeat(mine, count)
         at = piece.low[each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
@@ -239,7 +252,7 @@ def _string_hashes(batch: pa.RecordBatch, shared: np.ndarray):
 
 
 def strings(docs: DataFrame, shared: np.ndarray, cells: int) -> DataFrame:
-    """Suffix candidates: strings of entries that share a core, which may repeat."""
+    """Strings of the entries of hot cores, which may repeat."""
     sent_shared = sketch.send(docs, shared)
     held: list[np.ndarray] = []  # of one worker: the bits, unpacked once
 
@@ -249,7 +262,8 @@ def strings(docs: DataFrame, shared: np.ndarray, cells: int) -> DataFrame:
         return held[0]
 
     def extract(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for h1, _, _, _ in _string_hashes(batch, bits_of_worker()):
+        wanted = lambda core: sketch.maybe_repeated(bits_of_worker(), core)
+        for h1, _, _, _ in _string_hashes(batch, wanted):
             yield h1
 
     again = sketch.repeated_cells(docs, extract, cells)
@@ -257,9 +271,10 @@ def strings(docs: DataFrame, shared: np.ndarray, cells: int) -> DataFrame:
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, shared = sketch.received(sent), sketch.received(sent_shared)
+        wanted = lambda core: sketch.maybe_repeated(shared, core)
         for batch in batches:
             found = []
-            for h1, h2, rows, start in _string_hashes(batch, shared):
+            for h1, h2, rows, start in _string_hashes(batch, wanted):
                 pick = sketch.maybe_repeated(bits, h1)
                 found.append((h1[pick], h2[pick], rows[pick], start[pick], start[pick] + SIZE))
             if found:
@@ -270,35 +285,148 @@ def strings(docs: DataFrame, shared: np.ndarray, cells: int) -> DataFrame:
     return docs.mapInArrow(probe, CANDIDATES)
 
 
+ENTRIES = "bucket long, doc_id long, tag long, start int, before int, strings int, text binary"
+RANGES = "doc_id long, tag long, start int, length int"
+
+
+def dictionary(docs: DataFrame, shared: np.ndarray, hot: np.ndarray, buckets: int) -> DataFrame:
+    """The entries whose core several entries share, with their text, by bucket of cores.
+
+    ``before`` is the number of bytes in front of the trigger, ``strings`` that of starts.
+    """
+    sent = sketch.send(docs, shared), sketch.send(docs, hot)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared, hot = (sketch.received(bits) for bits in sent)
+        wanted = lambda core: (
+            sketch.maybe_repeated(shared, core) & ~sketch.maybe_repeated(hot, core))
+        for batch in batches:
+            ids, tags = batch.column("doc_id").fill_null(0).to_numpy(), batch.column("tag").to_numpy()
+            texts = batch.column("text")
+            offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1 + texts.offset)
+            offsets = offsets[texts.offset:].astype(np.int64)
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            for piece, mine in _entries(batch, wanted):
+                row, low = piece.row[mine], (piece.low - piece.begin)[mine]
+                length = piece.high[mine] + SIZE - piece.low[mine]
+                ends = np.cumsum(length)
+                at = np.repeat(offsets[row] + low - ends + length, length) + np.arange(ends[-1])
+                body = pa.BinaryArray.from_buffers(pa.binary(), len(mine), [
+                    None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32)),
+                    pa.py_buffer(data[at])])
+                bucket = (piece.core()[mine] % np.uint64(buckets)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(bucket), pa.array(ids[row]), pa.array(tags[row]),
+                    pa.array(low.astype(np.int32)),
+                    pa.array((piece.trigger - piece.low)[mine].astype(np.int32)),
+                    pa.array((length - SIZE + 1).astype(np.int32)), body,
+                ], ["bucket", "doc_id", "tag", "start", "before", "strings", "text"])
+
+    return docs.mapInArrow(emit, ENTRIES)
+
+
+def sorted_suffixes(table: pa.Table) -> pa.Table:
+    """The repeated strings among a bucket's entries, as merged ranges.
+
+    The entries are put in the order of the parse and aligned at their triggers. For each
+    distance before the trigger the suffixes there are sorted, stably, to the depth of
+    ``SIZE``; the first of equal neighbours is the earliest in the corpus.
+    """
+    table = table.combine_chunks()
+    ids, start = table.column("doc_id").to_numpy(), table.column("start").to_numpy().astype(np.int64)
+    before = table.column("before").to_numpy().astype(np.int64)
+    count = table.column("strings").to_numpy().astype(np.int64)
+    parse_order = np.lexsort((start + before, ids))
+    front = REACH - 1
+    aligned = np.zeros((len(ids), front + SIZE), np.uint8)
+    for place, k in enumerate(parse_order.tolist()):
+        body = table.column("text")[k].as_buffer()
+        first = front - int(before[k])
+        aligned[place, first:first + len(body)] = np.frombuffer(body, np.uint8)
+    ids, start, before, count = (x[parse_order] for x in (ids, start, before, count))
+    rows, places = [], []
+    for ahead in range(REACH):
+        has = np.flatnonzero((ahead <= before) & (ahead > before - count))
+        if len(has) < 2:
+            continue
+        suffixes = np.ascontiguousarray(aligned[has, front - ahead:front - ahead + SIZE])
+        suffixes = suffixes.view(f"V{SIZE}").ravel()
+        order = np.argsort(suffixes, kind="stable")
+        new = np.ones(len(order), bool)
+        new[1:] = suffixes[order][1:] != suffixes[order][:-1]
+        row = has[order]
+        lead = row[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        at = start[row] + before[row] - ahead
+        lead_at = start[lead] + before[lead] - ahead
+        again = (ids[row] > ids[lead]) | ((ids[row] == ids[lead]) & (at > lead_at))
+        rows.append(row[again])
+        places.append(at[again])
+    row = np.concatenate(rows) if rows else np.zeros(0, np.int64)
+    at = np.concatenate(places) if places else np.zeros(0, np.int64)
+    order = np.lexsort((at, row))
+    row, at = row[order], at[order]
+    fresh = np.ones(len(row), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (at[1:] > at[:-1] + SIZE)
+    head = np.flatnonzero(fresh)
+    tail = np.append(head[1:], len(row)) - 1 if len(row) else head
+    tags = table.column("tag").to_numpy()[parse_order]
+    return pa.table({
+        "doc_id": pa.array(ids[row[head]]), "tag": pa.array(tags[row[head]]),
+        "start": pa.array(at[head].astype(np.int32)),
+        "length": pa.array((at[tail] + SIZE - at[head]).astype(np.int32)),
+    })
+
+
 def repeated_ranges(docs: DataFrame, cells: int | None = None) -> DataFrame:
-    """doc_id, tag and the packed byte ranges to remove; rows with such only."""
+    """doc_id, tag and the packed byte ranges to remove; rows with such only.
+
+    The result is a stored table; those made on the way are removed.
+    """
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_tag().alias("tag"),
                          F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     if cells is None:
         total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         cells = sketch.cells_for(total // (REACH // 2))
     bits = sketch.repeated_cells(hashed, _cores, cells)
-    entries = phrases(hashed, bits)
-    # Cores with more than one entry, as a bit table like the sketch's.
-    shared = stored(
-        entries.where("NOT certain").groupBy("h1")
-        .agg(F.min("h2").alias("least"), F.max("h2").alias("most")).where("least != most")
-        .select("h1"),
-        "shared-cores",
-    )
 
     def both(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         found = batch.column("h1").to_numpy().view(np.uint64)
         yield np.concatenate([found, found])
 
-    shared_bits = sketch.repeated_cells(shared, both, cells)
-    found = entries.unionByName(strings(hashed, shared_bits, cells))
-    least = F.min(F.struct("doc_id", "start")).over(W.partitionBy("h1", "h2"))
-    return (
-        found.withColumn("least", least)
-        .where(F.col("certain") | (F.struct("doc_id", "start") > F.col("least")))
-        .groupBy("doc_id", "tag").agg(F.collect_list(packed_range()).alias("ranges"))
-    )
+    with Scratch(docs.sparkSession, "suffixes") as scratch:
+        entries = scratch.store(phrases(hashed, bits), "phrases")
+        # Cores with more than one entry, as bit tables like the sketch's.
+        shared = scratch.store(
+            entries.where("NOT certain").groupBy("h1")
+            .agg(F.min("h2").alias("least"), F.max("h2").alias("most"), F.count("*").alias("n"))
+            .where("least != most").select("h1", "n"),
+            "shared-cores",
+        )
+        hot = shared.where(F.col("n") > HOT).select("h1")
+        n_hot, n_entries = shared.agg(
+            F.count_if(F.col("n") > HOT), F.coalesce(F.sum("n"), F.lit(0))).first()
+        shared_bits = sketch.repeated_cells(shared.select("h1"), both, cells)
+        hot_bits = sketch.repeated_cells(hot, both, cells)
+        buckets = max(1, -(-n_entries // BUCKET))
+        suffixes = (
+            dictionary(hashed, shared_bits, hot_bits, buckets)
+            .groupBy("bucket").applyInArrow(sorted_suffixes, RANGES)
+        )
+        grouped = entries.where("NOT certain")
+        if n_hot:
+            of_hot = strings(hashed, hot_bits, cells)
+            grouped = grouped.unionByName(of_hot.where("NOT certain"))
+            suffixes = suffixes.unionByName(of_hot.where("certain").select(*suffixes.columns))
+        least = F.min(F.struct("doc_id", "start")).over(W.partitionBy("h1", "h2"))
+        repeats = (
+            grouped.withColumn("least", least)
+            .where(F.struct("doc_id", "start") > F.col("least")).select(*suffixes.columns)
+            .unionByName(entries.where("certain").select(*suffixes.columns))
+            .unionByName(suffixes)
+        )
+        return stored(
+            repeats.groupBy("doc_id", "tag").agg(F.collect_list(packed_range()).alias("ranges")),
+            "repeated-ranges")
 
 
 def cut_ranges(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[int, int, bytes]:
