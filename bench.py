@@ -58,7 +58,7 @@ def model_steps(spark, times: dict) -> None:
     featured = features.transform(train).persist()
     encoder = timed(times, "fit_encoder", lambda: models.fit_encoder(featured), warm=True)
     encoded = timed(times, "encode", lambda: materialize(
-        encoder.transform(featured).select("label", "features")
+        models.learning_rows(encoder, featured)
     ))
     logistic = timed(times, "fit_logistic", lambda: models.fit_classifier(
         encoded, models.MODELS["LogReg"]
@@ -75,8 +75,13 @@ def model_steps(spark, times: dict) -> None:
     featured.unpersist()
     if os.environ.get("BENCH_QUICK_RUN", "1") != "0":
         folded = training.spread(materialize(split.assign_folds(train)))
-        config = replace(RunConfig(), grids=QUICK_GRIDS, models=("LogReg",))
-        timed(times, "tune_logistic_5_folds", lambda: tuning.tune_models(folded, config))
+        quick = replace(RunConfig(), grids=QUICK_GRIDS)
+        alone = replace(quick, models=("LogReg",))
+        timed(times, "tune_logistic_5_folds", lambda: tuning.tune_models(folded, alone))
+    if os.environ.get("BENCH_FOREST_RUN", "0") != "0":
+        # The quick run's other half: 5 folds and the refit of 100 trees.
+        forest = replace(quick, models=("RandomForest",))
+        timed(times, "tune_forest_5_folds", lambda: tuning.tune_models(folded, forest))
 
 
 def main() -> None:

@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 # Rows one in-range window should hold.
 ROWS_PER_RANGE = 1_000_000
 # The most ranges an order is cut into.
-MAX_RANGES = 4_096
+MAX_RANGES = 65_536
 BUCKET = "__bucket"
 
 
@@ -55,7 +55,7 @@ def add_ranges(
     )
 
 
-def hash_range(hexadecimal: Column, digits: int = 3) -> Column:
+def hash_range(hexadecimal: Column, digits: int = 4) -> Column:
     """Range number of a hash given in hex: its leading digits (16^digits ranges)."""
     return F.conv(F.substring(hexadecimal, 1, digits), 16, 10).cast("int").alias(BUCKET)
 

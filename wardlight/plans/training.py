@@ -12,7 +12,7 @@ from wardlight.config import PATIENT_ID, QUICK_GRIDS, RunConfig
 from wardlight.operators import clean, fairness, metrics, split, threshold, tuning
 from wardlight.operators.models import fit_pipeline
 from wardlight.operators.score import predict_risk
-from wardlight.session import materialize
+from wardlight.session import Scratch
 from wardlight.sources import sinks
 
 
@@ -52,76 +52,80 @@ def run_training(
 ) -> dict:
     """Prepare, tune, evaluate, pick a threshold, audit and write everything.
 
-    Returns the result tables, the best model and the written paths.
+    Returns the result tables, the best model and the written paths. Only what is in
+    ``out`` stays: the models, the reports and the score store of the search, with which a
+    broken run goes on.
     """
     if quick:
         config = replace(config, grids=QUICK_GRIDS)
-    table = materialize(prepare_data(raw, config))
-    train = table.where("split = 'train'").drop("split")
-    holdout = table.where("split = 'test'").drop("split")
-    split.assert_no_group_leakage(train, holdout, "group")
-    folded = spread(materialize(split.assign_folds(train, config.folds, seed=config.seed)))
-
-    audit = [a for a in config.protected if a in table.columns]
-    results = tuning.tune_models(folded, config, audit=audit, store=f"{out}/tuning")
-    cv_summary = tuning.summarize_tuning(spark, results)
-    best = tuning.select_best_model(results)
-
-    rows, best_scored = [], None
-    for name, result in results.items():
-        scored = predict_risk(result.model, holdout, config.threshold).persist()
+    with Scratch(spark, "run") as scratch:
+        table = scratch.store(prepare_data(raw, config), "prepared")
+        train = table.where("split = 'train'").drop("split")
+        holdout = table.where("split = 'test'").drop("split")
+        split.assert_no_group_leakage(train, holdout, "group")
+        folded = spread(scratch.store(
+            split.assign_folds(train, config.folds, seed=config.seed), "folded"))
+
+        audit = [a for a in config.protected if a in table.columns]
+        results = tuning.tune_models(folded, config, audit=audit, store=f"{out}/tuning")
+        cv_summary = tuning.summarize_tuning(spark, results)
+        best = tuning.select_best_model(results)
+
+        rows, best_scored = [], None
+        for name, result in results.items():
+            scored = predict_risk(result.model, holdout, config.threshold).persist()
+            rows.append(_named(
+                metrics.classification_metrics(scored, config.threshold), name
+            ).first())
+            if name == best.model_name:
+                best_scored = scored
+            else:
+                scored.unpersist()
+
+        judged = best.out_of_fold if config.threshold_source == "validation" else best_scored
+        curve = threshold.cost_curve(judged, config.cost_fn_over_fp, config.n_thresholds)
+        optimum_row = threshold.optimal_threshold(curve).first()
+        optimum = spark.createDataFrame([optimum_row])
+        cut = optimum_row["optimal_threshold"]
         rows.append(_named(
-            metrics.classification_metrics(scored, config.threshold), name
+            metrics.classification_metrics(best_scored, cut), f"{best.model_name}_optimal_threshold"
         ).first())
-        if name == best.model_name:
-            best_scored = scored
-        else:
-            scored.unpersist()
-
-    judged = best.out_of_fold if config.threshold_source == "validation" else best_scored
-    curve = threshold.cost_curve(judged, config.cost_fn_over_fp, config.n_thresholds)
-    optimum_row = threshold.optimal_threshold(curve).first()
-    optimum = spark.createDataFrame([optimum_row])
-    cut = optimum_row["optimal_threshold"]
-    rows.append(_named(
-        metrics.classification_metrics(best_scored, cut), f"{best.model_name}_optimal_threshold"
-    ).first())
-    holdout_metrics = metrics.compare_models(spark.createDataFrame(rows))
-
-    labelled = best_scored.withColumn(
-        "y_pred", F.when(F.col("score") >= cut, 1).otherwise(0)
-    )
-    report = fairness.fairness_report(labelled, audit) if audit else None
-    gaps = fairness.fairness_gaps(report) if audit else None
-
-    paths = sinks.save_model(best.model, f"{out}/models", best.model_name)
-    paths["cv_summary"] = sinks.write_report(cv_summary, f"{out}/reports/cv_summary")
-    paths["cv_results"] = sinks.write_report(
-        tuning.cv_results(spark, results), f"{out}/reports/cv_results"
-    )
-    paths["holdout_metrics"] = sinks.write_metrics(
-        holdout_metrics, f"{out}/reports/holdout_metrics"
-    )
-    chosen = spark.createDataFrame(
-        [(best.model_name, cut, json.dumps(best.best_params))],
-        "best_model string, optimal_threshold double, best_params string",
-    )
-    paths["choice"] = sinks.write_metrics(chosen, f"{out}/reports/choice")
-    tables = {
-        "cost_curve": curve, "threshold": optimum,
-        "roc_curve": metrics.roc_curve(best_scored),
-        "precision_recall_curve": metrics.precision_recall_curve(best_scored),
-    }
-    if audit:
-        tables |= {"fairness_report": report, "fairness_summary": gaps}
-    for name, df in tables.items():
-        paths[name] = sinks.write_report(df, f"{out}/reports/{name}")
-    best_scored.unpersist()
-    return {
-        "best_model_name": best.model_name, "best_model": best.model, "results": results,
-        "cv_summary": cv_summary, "holdout_metrics": holdout_metrics, "choice": chosen,
-        "optimal_threshold": cut, "paths": paths,
-    }
+        holdout_metrics = metrics.compare_models(spark.createDataFrame(rows))
+
+        labelled = best_scored.withColumn(
+            "y_pred", F.when(F.col("score") >= cut, 1).otherwise(0)
+        )
+        report = fairness.fairness_report(labelled, audit) if audit else None
+        gaps = fairness.fairness_gaps(report) if audit else None
+
+        paths = sinks.save_model(best.model, f"{out}/models", best.model_name)
+        paths["cv_summary"] = sinks.write_report(cv_summary, f"{out}/reports/cv_summary")
+        paths["cv_results"] = sinks.write_report(
+            tuning.cv_results(spark, results), f"{out}/reports/cv_results"
+        )
+        paths["holdout_metrics"] = sinks.write_metrics(
+            holdout_metrics, f"{out}/reports/holdout_metrics"
+        )
+        chosen = spark.createDataFrame(
+            [(best.model_name, cut, json.dumps(best.best_params))],
+            "best_model string, optimal_threshold double, best_params string",
+        )
+        paths["choice"] = sinks.write_metrics(chosen, f"{out}/reports/choice")
+        tables = {
+            "cost_curve": curve, "threshold": optimum,
+            "roc_curve": metrics.roc_curve(best_scored),
+            "precision_recall_curve": metrics.precision_recall_curve(best_scored),
+        }
+        if audit:
+            tables |= {"fairness_report": report, "fairness_summary": gaps}
+        for name, df in tables.items():
+            paths[name] = sinks.write_report(df, f"{out}/reports/{name}")
+        best_scored.unpersist()
+        return {
+            "best_model_name": best.model_name, "best_model": best.model, "results": results,
+            "cv_summary": cv_summary, "holdout_metrics": holdout_metrics, "choice": chosen,
+            "optimal_threshold": cut, "paths": paths,
+        }
 
 
 def ablation(

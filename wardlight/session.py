@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextvars import ContextVar
 from functools import reduce
 from operator import and_
 
@@ -84,6 +85,7 @@ class Scratch:
 
     ``with Scratch(spark, "tuning") as scratch`` removes all at the end; ``drop`` removes
     some earlier. A table that is returned to a caller must be stored elsewhere.
+    Lookups that ``lookup_join`` stores inside the ``with`` belong to it, too.
     """
 
     def __init__(self, spark: SparkSession, name: str) -> None:
@@ -114,12 +116,17 @@ class Scratch:
         self._paths.clear()
 
     def __enter__(self) -> Scratch:
+        self._outer = _ACTIVE.set(self)
         return self
 
     def __exit__(self, *_: object) -> None:
+        _ACTIVE.reset(self._outer)
         self.close()
 
 
+_ACTIVE: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write the table to the shared folder as Parquet and read it.
 
@@ -142,6 +149,8 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str]) -> DataFrame
     sides are shuffled and AQE splits the hot keys.
     """
     renamed = {c: f"__of_{c}" for c in on}
-    lookup = materialize(lookup).withColumnsRenamed(renamed)
+    owner = _ACTIVE.get()
+    stored = owner.store(lookup, "lookup") if owner else materialize(lookup)
+    lookup = stored.withColumnsRenamed(renamed)
     same = reduce(and_, [facts[c].eqNullSafe(lookup[k]) for c, k in renamed.items()])
     return facts.join(lookup, same, "left").drop(*renamed.values())
