@@ -24,6 +24,9 @@ out by ``drop_recurring`` and stays, empty, in ``find_recurring``.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,18 +58,20 @@ TOKEN = r"(?<![^ \t-\r])[^ \t-\r0-9]*+[0-9][^ \t-\r]*+"
 
 def _hashed(body: str) -> tuple[Column, Column]:
     """The line with its variable tokens masked, and the hashes of its tokens."""
-    masked = F.regexp_replace(body, TOKEN, WILDCARD)
+    masked = F.when(F.col(body).rlike("[0-9]"), F.regexp_replace(body, TOKEN, WILDCARD)).otherwise(
+        F.col(body))
     return masked, F.transform(words(F.col("masked")), lambda t: F.xxhash64(t))
 
 
 def leaves(docs: DataFrame) -> DataFrame:
-    """doc_id, tag, line, number of tokens and leaf of each line with tokens.
+    """doc_id, tag, line, number of tokens and leaf of each line.
 
     Only the leading tokens are looked at; in a line of words with one blank between
     any two the others are counted by their blanks.
     """
     body = F.col("body")
-    plain = (body != "") & ~body.rlike(r"[\t\x0B\f\r]|  |^ | $")
+    odd = [body.contains(c) for c in ("  ", "\t", "\v", "\f", "\r")]
+    plain = (body != "") & ~reduce(or_, [*odd, body.startswith(" "), body.endswith(" ")])
     blanks = F.octet_length(body) - F.octet_length(F.replace(body, F.lit(" "), F.lit("")))
     found = (
         docs.select("doc_id", row_tag().alias("tag"),
@@ -79,7 +84,7 @@ def leaves(docs: DataFrame) -> DataFrame:
         )
     )
     masked = F.when(F.col("lead").rlike("[0-9]"), F.regexp_replace("lead", TOKEN, WILDCARD))
-    return found.where("n > 0").select(
+    return found.select(
         "doc_id", "tag", "line", "n", F.xxhash64("n", masked.otherwise(F.col("lead"))).alias("leaf"))
 
 
@@ -154,7 +159,8 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     few = min(min_docs, LONG_MIN_DOCS)
     with Scratch(docs.sparkSession, "lines") as scratch:
         # Stored, so that the joins read plain shuffles and a hot key can be split.
-        lines = scratch.store(leaves(docs), "leaves")
+        every = scratch.store(leaves(docs), "leaves")
+        lines = every.where("n > 0")
         busy = scratch.store(
             lines.groupBy("leaf", "n").agg(F.count("*").alias("found"))
             .where(F.col("found") >= F.when(F.col("n") >= LONG_LINE, few).otherwise(min_docs))
@@ -162,7 +168,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
             "busy-leaves",
         )
         held = scratch.store(_lines_of(docs, lines.join(busy, "leaf")), "busy-lines")
-        scratch.drop(lines, busy)
+        scratch.drop(every, busy)
         full = held.where("full")
         whole = F.xxhash64("hashes")
         keys = F.when(F.col("n") >= MIN_FIELD_TOKENS, F.array(
