@@ -87,6 +87,33 @@ def test_one_label_gives_a_constant(labelled):
     assert {r["score"] for r in pairwise_quality.score(docs, model).collect()} == {1.0}
 
 
+def test_the_cut_is_chosen_on_all_labels(spark):
+    """Against trying every quantile of the sample on every labelled row."""
+    rng = random.Random(6)
+    rows = [(g, rng.gauss(1.0 if g else 0.0, 0.7)) for g in rng.choices([True, False], [3, 1], k=900)]
+    labelled = spark.createDataFrame(rows, "good boolean, strength double").repartition(3)
+    sample = spark.createDataFrame(rows[:90], "good boolean, strength double")
+    values = sorted(s for _, s in rows[:90])
+    place = [i / 50 * (len(values) - 1) for i in range(1, 50)]
+    cuts = [values[int(p)] + (p - int(p)) * (values[min(int(p) + 1, 89)] - values[int(p)]) for p in place]
+    good, bad = [s for g, s in rows if g], [s for g, s in rows if not g]
+    errors = [sum(s < c for s in good) / len(good) + sum(s >= c for s in bad) / len(bad) for c in cuts]
+    got = pairwise_quality.quantile_cut(sample, labelled, 50)
+    assert got == pytest.approx(cuts[errors.index(min(errors))])
+
+
+def test_pairs_are_of_both_labels(spark):
+    """Every text of the larger class meets some of the smaller, half of them turned round."""
+    zeros = {f: 0.0 for f in pairwise_quality.FIGURES[1:]}
+    sample = spark.createDataFrame(
+        [{"good": i % 4 != 0, "order": i, "log_words": float(i), **zeros} for i in range(40)])
+    pairs = pairwise_quality.preference_pairs(sample).collect()
+    assert len(pairs) == 30 * pairwise_quality.PAIRS_PER_TEXT
+    assert all(p["winner"]["log_words"] % 4 != 0 and p["loser"]["log_words"] % 4 == 0 for p in pairs)
+    assert {p["winner"]["log_words"] for p in pairs} == {float(i) for i in range(40) if i % 4}
+    assert sum(p["straight"] for p in pairs) == len(pairs) / 2
+
+
 def test_water_fill_by_hand(spark):
     rows = [("a", 100, 3), ("b", 10, 1), ("c", 300, 2), ("d", 0, 3)]
     table = spark.createDataFrame(rows, "source string, source_size long, weight long")

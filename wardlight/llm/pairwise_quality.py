@@ -7,8 +7,9 @@ figure differences. A cut among the quantiles of the training strengths is the
 reference: a text's score is its chance to beat it, shifted so that the cut itself
 scores ``CUT_SCORE``.
 
-The model is fitted on at most ``MAX_LABELLED`` labelled ids, the first by hash;
-every text is scored in its row by built-in functions.
+The weights are fitted on at most ``MAX_LABELLED`` labelled rows, the first by hash,
+and the cut is chosen on all labelled rows; every text is scored in its row by built-in
+functions. Very long texts are one row's work; an empty table gives an empty one.
 
 Defined cases: a NULL text scores as an empty one; without both labels there is
 no pair and every text scores the mean label (0.5 without any); of several labels
@@ -22,12 +23,12 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import smallest, stored, words
+from wardlight.llm.common import quoted, smallest, stored, words
 
 MAX_LABELLED = 20_000
 PAIRS_PER_TEXT = 3
@@ -55,7 +56,7 @@ def with_figures(docs: DataFrame, carry: tuple[str, ...], text: str = "text") ->
     share = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     n, chars, lines = F.col("n"), F.greatest(F.col("chars"), F.lit(1)), F.col("lines")
     return (
-        docs.select(F.struct(*carry).alias("row"), body.alias("body"), words(body).alias("words"))
+        docs.select(F.struct(*map(quoted, carry)).alias("row"), body.alias("body"), words(body).alias("words"))
         .select("row", "body", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"),
                 F.aggregate("words", F.struct(F.lit(0).alias("sum"), F.lit(0.0).alias("square")),
                             lambda a, w: F.struct(
@@ -139,20 +140,32 @@ def preference_pairs(sample: DataFrame, pairs_per_text: int = PAIRS_PER_TEXT) ->
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> QualityModel:
     """Fit on labelled rows of ``labels`` (doc_id, quality); the caller keeps a holdout out."""
+    rows = stored(with_figures(docs, ("doc_id",)), "quality-figures")
+    return fit_figures(rows, labels, max_labelled)
+
+
+def fit_figures(
+    rows: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED
+) -> QualityModel:
+    """Fit on rows of ``with_figures`` that carry doc_id, stored: they are read twice.
+
+    The weights are fitted on ``max_labelled`` labelled rows; the cut is the one of their
+    quantiles that separates all labelled rows best.
+    """
     known = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
-        .groupBy("doc_id").agg((F.min("quality") > 0).alias("good"))
+        .groupBy(F.col("doc_id").alias("of")).agg((F.min("quality") > 0).alias("good"))
     )
-    order = F.xxhash64("doc_id")
-    chosen = smallest(known, order, max_labelled, known.count()).withColumn("order", order)
-    # At most max_labelled rows of three short columns.
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    labelled = stored(
+        rows.join(known, F.col("row.doc_id") == F.col("of")).select("of", "good", *FIGURES),
+        "quality-labelled")
+    order = F.xxhash64("of", *FIGURES)
     sample = stored(
-        with_figures(sample, ("good", "order")).select("row.*", *FIGURES), "quality-sample"
-    )
+        smallest(labelled, order, max_labelled, labelled.count()).withColumn("order", order),
+        "quality-sample")
     pairs = preference_pairs(sample)
     if pairs is None:
-        mean = sample.agg(F.avg(F.col("good").cast("double"))).first()[0]
+        mean = labelled.agg(F.avg(F.col("good").cast("double"))).first()[0]
         return QualityModel((0.0,) * len(FIGURES), 0.0, 0.5 if mean is None else mean)
     sign = F.when(F.col("straight"), 1.0).otherwise(-1.0)
     differences = pairs.select(
@@ -168,28 +181,40 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) ->
         fitIntercept=False, regParam=REGULARISATION, maxIter=100
     ).fit(vectors)
     model = QualityModel(tuple(float(w) for w in fitted.coefficients), 0.0)
-    strengths = sample.select("good", model.strength().alias("strength"))
-    return QualityModel(model.weights, quantile_cut(strengths))
+    strength = model.strength().alias("strength")
+    return QualityModel(model.weights, quantile_cut(
+        sample.select(strength), labelled.select("good", strength)))
+
 
+def quantile_cut(sample: DataFrame, labelled: DataFrame, quantiles: int = QUANTILES) -> float:
+    """The strength quantile of the sample with the least balanced error on all labels.
 
-def quantile_cut(strengths: DataFrame, quantiles: int = QUANTILES) -> float:
-    """The strength quantile that separates the labels with the least balanced error."""
+    What is collected is a count per label and stretch between two quantiles.
+    """
     shares = F.array(*[F.lit(i / quantiles) for i in range(1, quantiles)])
-    cuts = strengths.select(F.percentile("strength", shares)).first()[0]
-    tried = strengths.select(
-        "good", "strength", F.explode(F.array_distinct(F.array(*[F.lit(c) for c in cuts])))
-        .alias("cut"),
-    )
-    rates = tried.groupBy("cut").agg(
-        F.avg(F.when(F.col("good"), (F.col("strength") < F.col("cut")).cast("double"))).alias("lost"),
-        F.avg(F.when(~F.col("good"), (F.col("strength") >= F.col("cut")).cast("double")))
-        .alias("passed"),
-    )
-    best = rates.orderBy(F.col("lost") + F.col("passed"), "cut").first()
-    return float(best["cut"])
+    cuts = sorted(set(sample.select(F.percentile("strength", shares)).first()[0]))
+    dealt = Bucketizer(
+        splits=[-math.inf, *cuts, math.inf], inputCol="strength", outputCol="stretch"
+    ).transform(labelled)
+    counts = {True: [0] * (len(cuts) + 1), False: [0] * (len(cuts) + 1)}
+    for row in dealt.groupBy("good", "stretch").agg(F.count("*").alias("n")).collect():
+        counts[row["good"]][int(row["stretch"])] += row["n"]
+    n_good, n_bad = sum(counts[True]), sum(counts[False])
+    best, lost, passed = None, 0, n_bad
+    for k, cut in enumerate(cuts):
+        lost, passed = lost + counts[True][k], passed - counts[False][k]
+        error = lost / n_good + passed / n_bad
+        if best is None or error < best[0]:
+            best = (error, cut)
+    return float(best[1])
 
 
 def score(docs: DataFrame, model: QualityModel, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns as ``row``, and ``score`` and ``predicted``."""
-    scored = with_figures(docs, carry).select("row", model.score().alias("score"))
+    return score_figures(with_figures(docs, carry), model)
+
+
+def score_figures(rows: DataFrame, model: QualityModel) -> DataFrame:
+    """Score rows of ``with_figures``."""
+    scored = rows.select("row", model.score().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= CUT_SCORE).cast("int"))

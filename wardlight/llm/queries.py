@@ -15,7 +15,7 @@ from wardlight.llm import (
     quality_rules, substring_dedup, suffix_dedup, url_filter,
     word_runs,
 )
-from wardlight.llm.common import read_table, words
+from wardlight.llm.common import read_table, stored, words
 
 
 # The rules of the URL query: verdict, host, path.
@@ -36,9 +36,10 @@ def op1_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    held_out = pairwise_quality.held_out(F.col("doc_id"))
-    model = pairwise_quality.fit(docs, labels.where(~held_out))
-    return pairwise_quality.score(docs, model).select(
+    rows = stored(pairwise_quality.with_figures(docs, ("doc_id",)), "quality-figures")
+    model = pairwise_quality.fit_figures(
+        rows, labels.where(~pairwise_quality.held_out(F.col("doc_id"))))
+    return pairwise_quality.score_figures(rows, model).select(
         "row.doc_id", pairwise_quality.held_out(F.col("row.doc_id")).alias("held_out"),
         "score", "predicted",
     )
