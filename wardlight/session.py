@@ -111,6 +111,10 @@ class Scratch:
                 _delete(self.spark, held[1])
                 self._paths.remove(held)
 
+    def remove(self, path: str) -> None:
+        """Remove what was written to a path of ``path``."""
+        _delete(self.spark, path)
+
     def close(self) -> None:
         _delete(self.spark, self.folder)
         self._paths.clear()
