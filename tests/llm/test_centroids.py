@@ -117,12 +117,12 @@ def test_only_the_result_stays(spark):
     result = centroids.cluster(spark.createDataFrame([(*r, 0) for r in blobs(rng, 60)], SCHEMA))
     left = {p.parent for p in set(folder.rglob("*.parquet")) - before}
     assert len(left) == 1 and result.count() == 60
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(("blocks_", "heaps_"))]
 
 
 def test_a_round_moves_no_vectors(spark):
     """The bucketed tables are joined where they are."""
-    with centroids.Scratch(spark, "plan") as scratch:
-        tables = centroids._Bucketed(scratch, 4)
+    with centroids.Scratch(spark, "plan") as scratch, centroids._Bucketed(scratch, 4) as tables:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
         try:
             left, right = (tables.store(spark.range(9).withColumnRenamed("id", "block"), name)

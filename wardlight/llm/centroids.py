@@ -211,17 +211,35 @@ def _step(blocks: DataFrame, size: int, centroids: np.ndarray, used: list[float]
 
 
 class _Bucketed:
-    """Tables bucketed by block, so that joining two of them moves neither."""
+    """Tables bucketed by block, so that joining two of them moves neither.
+
+    Their files are in the scratch folder; the catalog's entries go with ``drop``.
+    """
 
     def __init__(self, scratch: Scratch, buckets: int) -> None:
         self.scratch, self.buckets = scratch, buckets
+        self.held: dict[str, str] = {}
 
     def store(self, df: DataFrame, name: str) -> DataFrame:
-        table = f"{name}_{uuid.uuid4().hex}"
+        table, path = f"{name}_{uuid.uuid4().hex}", self.scratch.path(name)
         writer = df.write.format("parquet").bucketBy(self.buckets, "block")
-        writer.option("path", self.scratch.path(name)).saveAsTable(table)
+        writer.option("path", path).saveAsTable(table)
+        self.held[table] = path
         return df.sparkSession.table(table)
 
+    def __enter__(self) -> _Bucketed:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.drop()
+
+    def drop(self, keep: int = 0) -> None:
+        """Remove all tables but the first one and the last ``keep``."""
+        names = list(self.held)
+        for table in names[1:len(names) - keep] if keep else names:
+            self.scratch.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            self.scratch.remove(self.held.pop(table))
+
 
 def cluster(
     vectors: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, size: int = COMPONENTS,
@@ -243,15 +261,13 @@ def cluster(
     first = kept.orderBy(place, "vector").limit(k).select("vector").collect()
     centroids = [integers(np.array(r["vector"]), scale).tolist() for r in first]
     k = len(centroids)
-    with Scratch(spark, "centroids") as scratch:
-        n_blocks = -(-kept.count() // BLOCK)
-        buckets = max(1, min(n_blocks, max(spark.sparkContext.defaultParallelism,
-                                           n_blocks // BUCKET_BLOCKS)))
-        tables = _Bucketed(scratch, buckets)
+    n_blocks = -(-kept.count() // BLOCK)
+    buckets = max(1, min(n_blocks, max(spark.sparkContext.defaultParallelism,
+                                       n_blocks // BUCKET_BLOCKS)))
+    with Scratch(spark, "centroids") as scratch, _Bucketed(scratch, buckets) as tables:
         blocks = tables.store(
             _blocks(kept.select("row", "vector"), size, scale).repartition(buckets, "block"),
             "blocks")
-        names: list[DataFrame] = []
         sums = [[0] * (size + 1) for _ in range(k)]
         used = [0.0] * k
         state = None
@@ -261,7 +277,7 @@ def cluster(
                 joined = joined.join(state.hint("shuffle_hash"), "block", "left")
             step = _step(joined, size, np.array(centroids, np.int64), used, turn == rounds)
             state = tables.store(step, "final" if turn == rounds else "heaps")
-            names.append(state)
+            tables.drop(keep=1)
             if turn == rounds:
                 break
             _add_changes(sums, state)
