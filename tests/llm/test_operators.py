@@ -180,6 +180,22 @@ def test_no_rules_leave_the_default(spark):
     assert (row["rule"], row["verdict"]) == (None, "allow")
 
 
+def test_odd_urls(spark):
+    """Empty pages, columns of the operator's own names, and a very long url."""
+    rules = url_filter.rule_table(spark, [("block", "net", "/es/"), ("allow", "com", "/")])
+    long_path = "/es/" + "a" * 200_000
+    pages = spark.createDataFrame(
+        [(1, "http://A.net" + long_path), (2, None), (2, None), (None, "x://b.com/")],
+        "page_id long, url string",
+    ).withColumns({c: F.lit("x") for c in ("host", "path", "rule", "key", "row", "a.b", "verdict")})
+    got = {(r["page_id"], r["rule"], r["verdict"], len(r["path"])) for r in
+           url_filter.match_rules(pages, rules).collect()}
+    assert got == {(1, "net/es/", "block", len(long_path)), (2, None, "allow", 0),
+                   (None, "com/", "allow", 1)}
+    assert url_filter.match_rules(pages, rules).count() == 4
+    assert url_filter.match_rules(pages.limit(0), rules).count() == 0
+
+
 def test_leaks_in_blocks_and_their_places(spark, make_docs):
     rng = random.Random(2)
     item = prose(rng, 25)
@@ -252,12 +268,14 @@ def test_later_copies_go_and_first_stay(odd_docs):
 
 def test_pipeline_stages_on_odd_rows(spark, odd_docs, folder, tmp_path):
     docs = odd_docs
-    for name, stage in corpus_pipeline.STAGES[:-1]:
+    for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, folder)
         assert docs.columns == odd_docs.columns, name
         docs.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
+        assert stage(spark, odd_docs.limit(0), folder).count() == 0, name
     assert {r["doc_id"] for r in docs.collect()} <= {4}
+    assert corpus_pipeline.STAGES[-1][1](spark, odd_docs, folder).columns == odd_docs.columns
     near = near_dedup.drop_near_copies(odd_docs).collect()
     assert sorted(r["doc_id"] for r in near if r["doc_id"] and r["text"] and r["text"].strip()) == [
         4, 6, 7, 7]

@@ -10,7 +10,7 @@ from wardlight.llm import queries as corpus
 @pytest.fixture(scope="module")
 def database(folder):
     connection = duckdb.connect()
-    for name in ("documents", "pages", "benchmark", "labels"):
+    for name in ("documents", "pages", "benchmark", "labels", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
     return connection
 
@@ -24,7 +24,7 @@ def shown(rows):
 def test_registered():
     names = set(entry_point.queries())
     assert set(corpus.QUERIES) <= names
-    for number in range(1, 11):
+    for number in range(1, 14):
         assert sum(n.startswith(f"op{number}_") for n in names) == 1
     assert "pipeline" in names
 

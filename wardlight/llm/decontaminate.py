@@ -13,6 +13,9 @@ automaton of each block in turn, adding to what was found.
 Defined cases: NULL has no words; an item without words is in no document; items of
 one id count once; a NULL item id is listed as an empty string; rows are scanned
 one by one, so repeated rows and ids stay.
+A text of any length is scanned whole in its row; the carried columns are kept in a struct,
+so their names cannot clash; an empty table of documents gives an empty one, an empty
+benchmark finds nothing.
 """
 
 from __future__ import annotations

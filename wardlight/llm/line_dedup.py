@@ -20,6 +20,8 @@ Defined cases: a NULL text has no lines and stays NULL; lines without tokens sta
 and are no templates; the NULL id is last in the order; rows with equal id and text
 are one document, so equal rows fare alike; a row all of whose tokens went is left
 out by ``drop_recurring`` and stays, empty, in ``find_recurring``.
+Texts of any length are split in their row; carried columns are kept in a struct, so
+their names cannot clash; an empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -9,6 +9,7 @@ Defined cases: a NULL or empty text has size 0; the NULL source is a source like
 others; equal rows share their place in the order, and which of them is taken
 does not show; a source without words has target 0. Only the named columns are
 read.
+A text of any length is counted in its row; an empty table gives an empty one.
 """
 
 from __future__ import annotations

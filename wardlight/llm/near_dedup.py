@@ -21,6 +21,9 @@ words are one shingle; rows of equal words are copies. A class is named by its
 smallest doc_id (NULL if it has none); ``drop_near_copies`` keeps one row of each
 class, the one of the smallest id, then of the smallest text hash.
 Nodes are numbered by a 64-bit hash of their words.
+Ids are whole numbers or text that spells them. Texts of any length are signed and
+compared whole; other columns are kept in a struct, so their names cannot clash; an
+empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -11,6 +11,8 @@ strata form a stratum of their own; a stratum with too few labels to certify a
 rule does not use it; rows are judged one by one, so repeated rows and ids stay.
 Labels: rows without doc_id or quality are ignored, and of several labels of one
 id the lowest counts. Only the named columns are read.
+A text of any length is counted in its row; an empty table of documents gives an empty
+one, without labels only the base rule holds.
 """
 
 from __future__ import annotations

@@ -15,6 +15,9 @@ share thus sends a row or two per batch and window.
 Defined cases: NULL, empty and short texts have no window; rows with a NULL doc_id
 have no place in the order, so nothing is removed from them or because of them;
 rows with equal doc_id do not count as earlier than each other.
+Ids are whole numbers or text that spells them. A text of any length is one row's work;
+only doc_id and text are read, so other columns cannot clash; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations

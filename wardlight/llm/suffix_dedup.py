@@ -27,6 +27,9 @@ Defined cases: NULL text is empty; texts below ``SIZE`` bytes keep everything; r
 with a NULL doc_id have no place in the order, so nothing is removed from them or
 because of them; rows with equal doc_id count as one document's starts, and equal
 starts are not earlier than each other.
+Ids are whole numbers or text that spells them. A text of any length is one row's work;
+only doc_id and text are read, so other columns cannot clash; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations

@@ -15,6 +15,8 @@ open at its beginning.
 Defined cases: a NULL url, or one without "://", has empty host and path; of the
 fitting rules the longest host plus path wins, then the longer host; a rule given
 both ways blocks; repeated rows stay; an empty rule table leaves the default.
+Only page_id and url are read, so other columns cannot clash; a url of any length is one
+row's work; an empty ``pages`` gives an empty table.
 """
 
 from __future__ import annotations
