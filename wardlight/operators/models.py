@@ -24,8 +24,9 @@ from wardlight.session import Scratch
 DEEPEST = 30
 # Identifies a learning row, whatever partition it comes in.
 ROW_KEY = "row_key"
-# Tasks over which the rows of a tree fit are dealt, at most.
-MAX_TASKS = 10_000
+# Tasks over which the rows of a tree fit are dealt: some for a few thousand rows, then
+# as many as ``rows_per_task`` asks for, up to a limit.
+FEW_TASKS, FEW_ROWS, MAX_TASKS = 8, 2_000, 200_000
 # Weights of tree fits are multiples of this, so that their sums are exact in any order.
 WEIGHT_STEP = 2.0 ** -20
 
@@ -104,7 +105,7 @@ class ModelSpec:
     positive_weight: float | None = None
     dealt: bool = False
     # Rows worth a task of their own; fewer tasks make small iterative fits quick.
-    rows_per_task: int = 1_000
+    rows_per_task: int = 12_000
 
     def weights(
         self, counts: dict[int, int], class_weight: str | None, positive: float | None = None
@@ -153,7 +154,8 @@ class LearningRows:
 
     def _deal(self, rows_per_task: int) -> DataFrame:
         """The rows in partitions that are a function of the rows alone."""
-        tasks = min(MAX_TASKS, max(1, -(-self.n // rows_per_task)))
+        few = min(FEW_TASKS, -(-self.n // FEW_ROWS))
+        tasks = min(MAX_TASKS, max(1, few, -(-self.n // rows_per_task)))
         if tasks not in self._dealt:
             dealt = self.table.repartition(tasks, ROW_KEY).sortWithinPartitions(ROW_KEY)
             self._dealt[tasks] = dealt.persist()
