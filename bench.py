@@ -1,7 +1,7 @@
 """Time the headline queries and the model steps; prints one JSON line.
 
 Each query and short model step runs once to warm up and is then timed (median
-of BENCH_RUNS, one by default). The forest and the tuning run are timed once.
+of BENCH_RUNS, one by default). The forest and the tuning runs are timed once.
 """
 
 from __future__ import annotations
@@ -74,14 +74,12 @@ def model_steps(spark, times: dict) -> None:
     ).collect())
     featured.unpersist()
     if os.environ.get("BENCH_QUICK_RUN", "1") != "0":
+        # The quick run of both models: 5 folds of one point and the refit, each.
         folded = training.spread(materialize(split.assign_folds(train)))
         quick = replace(RunConfig(), grids=QUICK_GRIDS)
-        alone = replace(quick, models=("LogReg",))
-        timed(times, "tune_logistic_5_folds", lambda: tuning.tune_models(folded, alone))
-    if os.environ.get("BENCH_FOREST_RUN", "0") != "0":
-        # The quick run's other half: 5 folds and the refit of 100 trees.
-        forest = replace(quick, models=("RandomForest",))
-        timed(times, "tune_forest_5_folds", lambda: tuning.tune_models(folded, forest))
+        for name, step in (("LogReg", "tune_logistic_5_folds"), ("RandomForest", "tune_forest_5_folds")):
+            alone = replace(quick, models=(name,))
+            timed(times, step, lambda: tuning.tune_models(folded, alone))
 
 
 def main() -> None:
