@@ -4,6 +4,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from wardlight.operators import encode
+from wardlight.plans import catalog
 
 
 def test_column_groups(spark):
@@ -154,3 +155,15 @@ def test_numbers_and_categories_together(spark):
     df = spark.range(40).select(F.col("id").alias("n"), (F.col("id") % 2).cast("string").alias("c"))
     model = encode.Preprocessor(numericCols=["n"], categoricalCols=["c"]).fit(df)
     assert encode.feature_names(model.transform(df)) == ["n", "c_0", "c_1"]
+
+
+def test_entries_send_the_names_not_the_rows(spark, tmp_path):
+    rows = [(i, "train", float(i), "ab"[i % 2]) for i in range(40)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "encounter_id long, split string, x double, c string").write.parquet(path)
+    table = spark.read.parquet(path)
+    model = encode.Preprocessor(numericCols=["x"], categoricalCols=["c"]).fit(table)
+    entries = catalog._entries(model.transform(table))
+    plan = entries._jdf.queryExecution().sparkPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan
+    assert entries.where("value = 1").groupBy("feature").count().count() == 2
