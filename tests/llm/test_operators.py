@@ -237,6 +237,23 @@ def test_licences_found_and_held_out_families(make_docs):
     assert all(got[i] == [] for i in range(150))
 
 
+def test_licences_learn_from_every_paragraph(spark, make_docs):
+    rows = [(i, "\n".join(f"plain line {i} {k}" for k in range(9))) for i in range(1000)]
+    rows.append((1000, "all rights reserved"))
+    found = licences.training_rows(make_docs(rows)).where(F.col("family") == licences.NONE)
+    assert found.count() == 9000
+
+
+def test_least_confidence_is_exact(spark):
+    table = spark.range(5000).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000).alias("confidence"))
+    values = sorted((r["confidence"] for r in table.collect()), reverse=True)
+    for share in (0.001, 0.03, 0.2):
+        assert licences.least_confidence(table, share) == values[int(5000 * share)]
+    assert licences.least_confidence(table, 0.9) == 0.5
+    assert licences.least_confidence(table.limit(0), 0.1) == 0.5
+
+
 OPERATORS = {
     "licences": lambda d, b, lab: licences.scan(d),
     "pairwise": lambda d, b, lab: pairwise_quality.score(d, pairwise_quality.fit(d, lab)),
