@@ -7,7 +7,7 @@ from wardlight.config import RunConfig
 from wardlight.operators import explain, models, split, tuning
 from wardlight.operators.metrics import ranking_areas
 from wardlight.operators.score import expected_schema, predict_risk
-from wardlight.plans import training
+from wardlight.plans import catalog, training
 from wardlight.session import materialize
 from wardlight.sources import encounters as source
 from wardlight.sources import sinks
@@ -324,3 +324,23 @@ def test_best_model_needs_a_score():
 
     found = {"a": SimpleNamespace(best_score=float("nan")), "b": SimpleNamespace(best_score=0.2)}
     assert select_best_model(found) is found["b"]
+
+
+def test_calibration_tunes_its_own_model_only(monkeypatch):
+    searched = []
+    monkeypatch.setattr(catalog, "_TUNED", {})
+    monkeypatch.setattr(catalog, "_prepared", lambda spark, folder: (None, None))
+    monkeypatch.setattr(catalog.split, "assign_folds", lambda table, folds: table)
+    monkeypatch.setattr(catalog, "materialize", lambda table: table)
+    monkeypatch.setattr(catalog.training, "spread", lambda table: table)
+    monkeypatch.setattr(catalog.tuning, "tune_models", lambda table, config: searched.append(
+        config.models) or dict.fromkeys(config.models, "found"))
+
+    class Session:
+        class sparkContext:
+            applicationId = "app"
+
+    assert catalog._tuned(Session, "f", ("LogReg",)) == {"LogReg": "found"}
+    assert len(catalog._tuned(Session, "f")) == 2
+    assert len(catalog._tuned(Session, "f", ("LogReg",))) == 2  # the wider search is there
+    assert searched == [("LogReg",), ("LogReg", "RandomForest")]
