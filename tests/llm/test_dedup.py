@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -227,3 +228,26 @@ def test_a_common_field_value_shares_the_template(make_docs):
             for i in range(34)]
     got = dropped_lines(make_docs([*rows, rows[33]]))  # equal rows are one document
     assert got[0] == [] and all(got[i] == [0] for i in range(1, 34))
+
+
+def test_windows_put_in_order_in_little_memory():
+    """A batch's windows take 60 bytes each at most while they are put in order."""
+    draw, n = np.random.default_rng(3), 400_000
+    ids = draw.permutation(1_000)
+    tracemalloc.start()
+    try:
+        held = [[
+            draw.integers(0, 5_000, n // 4).astype(np.uint64),
+            draw.integers(0, 3, n // 4).astype(np.uint32),
+            draw.integers(0, 1_000, n // 4).astype(np.int32), np.arange(n // 4, dtype=np.int32),
+        ] for _ in range(4)]
+        plain = [np.concatenate(x) for x in zip(*held)]
+        order = np.lexsort((ids[plain[2]], plain[1], plain[0]))
+        want = [hashlib.sha256(column[order]).hexdigest() for column in plain]
+        del plain, order
+        tracemalloc.reset_peak()
+        found = substring_dedup.in_order(held, ids)
+        assert tracemalloc.get_traced_memory()[1] < 60 * n
+    finally:
+        tracemalloc.stop()
+    assert [hashlib.sha256(column).hexdigest() for column in found] == want

@@ -116,6 +116,24 @@ def _runs(rows: np.ndarray, places: np.ndarray, size: int):
     return rows[first], places[first], places[last] + size
 
 
+def in_order(held: list[list[np.ndarray]], ids: np.ndarray) -> list[np.ndarray]:
+    """The pieces' h1, h2, rows and places as one column each, by hash and then id.
+
+    Empties ``held`` column by column: a batch is not in memory three times over.
+    """
+    def column(i: int) -> np.ndarray:
+        found = np.concatenate([piece[i] for piece in held])
+        for piece in held:
+            piece[i] = None
+        return found
+
+    columns = [column(i) for i in range(4)]
+    order = np.lexsort((ids[columns[2]], columns[1], columns[0]))
+    for i in range(4):
+        columns[i] = columns[i][order]
+    return columns
+
+
 CANDIDATES = "h1 long, h2 long, doc_id long, tag long, start int, length int, certain boolean"
 
 
@@ -136,18 +154,17 @@ def candidates(hashed: DataFrame, bits: np.ndarray, size: int) -> DataFrame:
                 h1 = _of_piece(offsets, row, values, rows, places, size, 0)
                 passed = sketch.maybe_repeated(bits, h1) & known[rows]
                 h2 = _of_piece(offsets, row, values, rows, places, size, 0x5851F42D4C957F2D)
-                held.append((h1[passed], (h2[passed] >> np.uint64(32)).astype(np.int64),
-                             rows[passed], places[passed]))
+                held.append([h1[passed], (h2[passed] >> np.uint64(32)).astype(np.uint32),
+                             rows[passed].astype(np.int32), places[passed].astype(np.int32)])
             if not held:
                 continue
-            h1, h2, rows, places = (np.concatenate(x) for x in zip(*held))
-            order = np.lexsort((ids[rows], h2, h1))
-            h1, h2, rows, places = h1[order], h2[order], rows[order], places[order]
+            h1, h2, rows, places = in_order(held, ids)
             docs = ids[rows]
             new = np.ones(len(h1), bool)
             new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-            group = np.cumsum(new) - 1
+            group = np.cumsum(new, dtype=np.int32) - 1
             certain = docs > docs[new][group] if len(docs) else new
+            del docs, new, group
             sure = np.lexsort((places[certain], rows[certain]))
             in_row, start, end = _runs(rows[certain][sure], places[certain][sure], size)
             # In the rows' order, a row's id and tag repeat and shrink in the shuffle.
