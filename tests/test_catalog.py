@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from wardlight.plans import catalog
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -52,3 +53,13 @@ def test_query_equals_sql(spark, database, folder, name):
 
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
+
+
+def test_prepared_table_stored_once(spark, folder, monkeypatch):
+    """A table that need not be dealt anew is written once, not once more as it is."""
+    stored = []
+    monkeypatch.setattr(catalog, "materialize", lambda df: stored.append(df) or df)
+    monkeypatch.setattr(catalog.training, "spread", lambda df: df)
+    monkeypatch.setattr(catalog, "_PREPARED", {})
+    catalog._prepared(spark, folder)
+    assert len(stored) == 1

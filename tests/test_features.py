@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardlight.functions import clinical
-from wardlight.functions.icd9 import add_diagnosis_categories, icd9_category
+from wardlight.functions.icd9 import RANGES, add_diagnosis_categories, icd9_category
 from wardlight.operators.features import EncounterFeatures
 
 CODES = {
@@ -26,6 +26,24 @@ def test_icd9_categories(spark):
     assert wrong == []
 
 
+def test_icd9_bounds_matched_once(spark):
+    """Every whole code falls in its range, and a code is matched and cast once."""
+    def want(code):
+        for name, (low, high, symptom) in RANGES.items():
+            if low <= code < high or code == symptom:
+                return name
+        return "Other"
+
+    codes = [c for c in range(1_010) if not str(c).startswith("250")]
+    rows = [(f"{c}{end}", want(c)) for c in codes for end in ("", ".", ".99")]
+    rows += [(text, "Other") for text in ("9" * 400, "12345678901234567890", "-428", "4e2")]
+    df = spark.createDataFrame(rows, "code string, want string")
+    found = df.withColumn("got", icd9_category(F.col("code")))
+    assert found.where("got IS DISTINCT FROM want").collect() == []
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1
+
+
 def test_numeric_code_column(spark):
     df = spark.createDataFrame([(250.0,), (428.0,), (None,)], "code double")
     got = [r[0] for r in df.select(icd9_category(F.col("code"))).collect()]
