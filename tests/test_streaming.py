@@ -113,6 +113,20 @@ def test_stream_scores_equal_batch_and_resent_records_count_once(spark, folder,
     assert both.where("score <> s2").count() == 0
 
 
+def test_a_quiet_day_is_one_file_of_a_batch(spark, tmp_path):
+    """Every task holds rows of every day; the session's own settings stay as they are."""
+    rows = spark.range(200, numPartitions=4).selectExpr(
+        "id AS encounter_id", "date_add(DATE '2024-01-01', cast(id % 5 AS int)) AS score_date")
+    rows.write.parquet(str(tmp_path / "in"))
+    log, before = tmp_path / "log", spark.conf.get("spark.sql.adaptive.enabled")
+    live = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    live = live.dropDuplicates(["encounter_id"])  # streams with state run without adaptive plans
+    scoring.start_prediction_log(live, str(log), str(tmp_path / "state")).awaitTermination()
+    assert len(list(log.glob("batch=0/score_date=*/*.parquet"))) == 5
+    assert scoring.read_prediction_log(spark, str(log)).distinct().count() == 200
+    assert spark.conf.get("spark.sql.adaptive.enabled") == before
+
+
 def test_a_replayed_batch_is_logged_once(spark, scored, tmp_path):
     """The log of a stream whose last batch runs twice, and its files per day."""
     import shutil
