@@ -130,6 +130,21 @@ def test_permutation_importance(prepared, fitted):
         explain.permutation_importance(fitted, prepared[0], ["nothing"])
 
 
+def test_permuted_copies_are_scored_in_tasks_by_their_number(prepared, fitted, monkeypatch):
+    """However few ranges the ring has, no task scores the copies of all rows."""
+    tasks, n = [], prepared[1].count()
+
+    def ranked(scored, groups):
+        tasks.append(scored.rdd.getNumPartitions())
+        return ranking_areas(scored, groups=groups)
+
+    monkeypatch.setattr(explain, "ranking_areas", ranked)
+    monkeypatch.setattr(explain, "TASK_COPIES", n // 4, raising=False)
+    columns = ["number_inpatient", "race"]
+    explain.permutation_importance(fitted, prepared[1], columns, repeats=2)
+    assert tasks[0] >= 5 * 4
+
+
 @pytest.mark.parametrize("ring_rows", [explain.RING_ROWS, 40])
 def test_ring_shifts_are_permutations(spark, ring_rows):
     """Whatever the ranges: the k-th next row in hash order, round the whole table."""
