@@ -244,6 +244,25 @@ def test_licences_learn_from_every_paragraph(spark, make_docs):
     assert found.count() == 9000
 
 
+def test_licences_cut_and_hash_a_text_once(make_docs):
+    docs = make_docs([(1, "a plain line\nall rights reserved")])
+    plan = licences.with_features(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(r"[^\p{L}\p{N}.-]") == 1
+    assert plan.index("posexplode") < plan.index("xxhash64(doc_id")
+
+
+def test_licences_of_equal_rows_and_null_ids(make_docs):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, 30)) for i in range(150)]
+    notice = f"{prose(rng, 30)}\n\nAll rights reserved.\nAll rights reserved."
+    rows += [(None, notice)] * 3 + [(7, notice)] * 2
+    got = [(r["doc_id"], r["n_found"], r["licences"])
+           for r in licences.scan(make_docs(rows)).collect()]
+    assert len(got) == len(rows)
+    assert sorted(n for _, n, _ in got) == [0] * 150 + [2] * 5
+    assert sum(i is None and names == ["proprietary"] for i, _, names in got) == 3
+
+
 def test_least_confidence_is_exact(spark):
     table = spark.range(5000).select(
         (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000).alias("confidence"))
