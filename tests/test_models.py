@@ -341,6 +341,14 @@ def test_best_model_needs_a_score():
     assert select_best_model(found) is found["b"]
 
 
+def test_registered_search_has_every_point():
+    """The search of the queries is that of the full run."""
+    full = RunConfig()
+    assert (catalog.TUNING.models, catalog.TUNING.folds) == (full.models, full.folds)
+    assert catalog.TUNING.grids == full.grids
+    assert sum(len(tuning.grid_points(catalog.TUNING.grids[m])) for m in full.models) == 28
+
+
 def test_calibration_tunes_its_own_model_only(monkeypatch):
     searched = []
     monkeypatch.setattr(catalog, "_TUNED", {})
