@@ -251,6 +251,27 @@ def test_licences_cut_and_hash_a_text_once(make_docs):
     assert plan.index("posexplode") < plan.index("xxhash64(doc_id")
 
 
+def test_licences_learn_in_parts_of_bounded_size(make_docs, monkeypatch):
+    """However large the table, a task of the regression reads a part of it only."""
+    found, plain = [], licences.LogisticRegression.fit
+
+    def fit(self, rows):
+        found.extend(rows.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+        return plain(self.copy({self.maxIter: 1}), rows)
+
+    monkeypatch.setattr(licences.LogisticRegression, "fit", fit)
+    monkeypatch.setattr(licences, "PART_BYTES", 20_000, raising=False)
+    docs = make_docs([
+        (i, "\n".join(f"line {i * 40 + j} has words {j * i % 977} and {i % 31}" for j in range(40)))
+        for i in range(100)]).coalesce(1)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = docs.sparkSession.conf.get(key)
+    licences.fit(docs)
+    others = [n for n in found[:-1] if n]
+    assert sum(others) > 3_000 and max(others) < 1_500 and len(others) > 3
+    assert docs.sparkSession.conf.get(key) == before
+
+
 def test_licences_of_equal_rows_and_null_ids(make_docs):
     rng = random.Random(5)
     rows = [(i, prose(rng, 30)) for i in range(150)]
