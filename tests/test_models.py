@@ -322,6 +322,39 @@ def test_ablation(prepared):
     assert table[0]["auc_pr"] >= table[1]["auc_pr"]
 
 
+def test_ablation_encodes_once(prepared, monkeypatch):
+    fits, plain = [], models.fit_encoder
+    monkeypatch.setattr(models, "fit_encoder", lambda *a, **k: fits.append(1) or plain(*a, **k))
+    points = {"plain": ("LogReg", {}, None), "forest": (
+        "RandomForest", {"n_estimators": 3, "max_depth": 3}, "balanced")}
+    table = {r["configuration"]: r for r in training.ablation(*prepared, points).collect()}
+    assert len(fits) == 1
+    for name, (model, params, weight) in points.items():
+        alone = models.fit_pipeline(prepared[0], model, params, class_weight=weight)
+        area = ranking_areas(predict_risk(alone, prepared[1])).first()["auc_pr"]
+        assert table[name]["auc_pr"] == pytest.approx(area)
+
+
+def test_streamed_records_are_built_once(spark, folder, monkeypatch):
+    """The records sent twice are read from one stored table, not made twice."""
+    class Seen(Exception):
+        pass
+
+    def seen(spark, table, name):
+        raise Seen(table.inputFiles())
+
+    monkeypatch.setattr(catalog, "_fitted", lambda *_: None)
+    monkeypatch.setattr(catalog, "_stream_of", seen)
+    with pytest.raises(Seen) as found:
+        catalog.all_queries()["stream_prediction_log"](spark, folder)
+    assert found.value.args[0] and not any("lineitem" in f for f in found.value.args[0])
+
+
+def test_longest_generated_method_is_one_that_is_compiled(spark):
+    """HotSpot interprets longer ones for ever; ``configure`` sets the limit."""
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
 def test_spellings_of_missing_score_alike(spark, fitted):
     """A kept model input is normalised like the others."""
     one = source.example_record(spark)
